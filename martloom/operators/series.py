@@ -32,8 +32,10 @@ def period_delta(
     timeline = number_and_lag(
         df, keys, period, seq="row_num", lags={previous: F.col(value)}, chunk=chunk
     )
-    sign = F.lit(-1 if negate else 1)
-    now, before = F.round(F.col(value) * sign, scale), F.round(F.col(previous) * sign, scale)
+    now, before = F.col(value), F.col(previous)
+    if negate:
+        now, before = -now, -before
+    now, before = F.round(now, scale), F.round(before, scale)
     out = timeline.withColumn("difference", now - before).withColumn(
         "difference_percent", F.abs(F.round(safe_div(F.col("difference"), now), scale))
     )

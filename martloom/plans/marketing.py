@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import brand_prefix, safe_div
@@ -64,13 +64,17 @@ def _with_pnl(ads: DataFrame, results: DataFrame, as_of: dt.date) -> DataFrame:
     sales, spend = F.col("sum_total_sales_ads"), F.col("sum_spend")
     units = F.col("sum_total_units_ads")
     profit = ad_profit(sales, spend, F.col("avg_fee"), F.col("avg_cost_per_unit"), units)
+
+    def share(part: Column, whole: Column) -> Column:
+        return safe_div(part.cast("double"), whole.cast("double"))
+
     return joined.withColumn("profit_ads", profit).withColumns(
         {
-            "perc_cnt_ads_sales": safe_div(units, F.col("quantity_purchased")),
-            "perc_sum_ads_sales": safe_div(sales, F.col("principal")),
-            "perc_sum_profit": safe_div(F.col("profit_ads"), F.col("month_gross_margin")),
-            "roas": safe_div(sales, spend),
-            "acos": safe_div(spend, sales),
+            "perc_cnt_ads_sales": share(units, F.col("quantity_purchased")),
+            "perc_sum_ads_sales": share(sales, F.col("principal")),
+            "perc_sum_profit": share(F.col("profit_ads"), F.col("month_gross_margin")),
+            "roas": share(sales, spend),
+            "acos": share(spend, sales),
         }
     )
 

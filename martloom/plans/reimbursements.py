@@ -107,6 +107,6 @@ def reimbursement_net(
         F.sum("gross").alias("sum_reim_with_case_id"),
         F.sum("taken_back").alias("sum_error_reimb"),
         F.sum("net").alias("sum_net_profit"),
-        safe_div(F.sum("net"), F.sum("claims")).alias("profit_per_net_profit"),
+        safe_div(F.sum("net").cast("double"), F.sum("claims")).alias("profit_per_net_profit"),
     )
     return report.orderBy("year", "month") if ordered else report
