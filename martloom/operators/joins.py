@@ -101,38 +101,27 @@ def exists_in(
     return df.join(keys, match, "left_semi")
 
 
-def stack_measures(components: Mapping[str, DataFrame], on: Sequence[str]) -> DataFrame:
-    """Sum all measures of all components per key in one aggregate over their union."""
-    measures = [m for df in components.values() for m in df.columns if m not in on]
-    if len(set(measures)) != len(measures):
-        raise ValueError("components share a measure name")
-    types = {
-        f.name: f.dataType for df in components.values() for f in df.schema if f.name not in on
-    }
-    padded = [
-        df.select(
-            *on,
-            *[F.col(m) if m in df.columns else F.lit(None).cast(types[m]).alias(m) for m in measures],
-        )
-        for df in components.values()
-    ]
-    stacked = reduce(lambda a, b: a.unionByName(b), padded)
-    return stacked.groupBy(*on).agg(*[F.sum(m).alias(m) for m in measures])
-
-
 def spine_join(
     spine: DataFrame, components: Mapping[str, DataFrame], on: Sequence[str], fill=0
 ) -> DataFrame:
     """Attach the measures of many components to a spine, ``fill`` where there are none.
 
-    The textbook form is one left join per component, each shuffling and sorting again. Here
-    the components are stacked and summed per key, after which a single join remains. A
-    component that repeats a key is summed instead of multiplying spine rows.
+    Components arrive aggregated to ``on``, hence partitioned by it: the spine is shuffled and
+    sorted once, and all joins follow in one stage as merges along the same order. Each
+    component travels as one struct, which later joins copy as a block instead of decoding
+    every measure again. A component must not repeat a key, or it multiplies spine rows (see
+    ``assert_unique``).
     """
-    measures = stack_measures(components, on)
-    names = [m for m in measures.columns if m not in on]
-    joined = spine.join(measures, list(on), "left")
-    return joined.withColumns({m: F.coalesce(F.col(m), F.lit(fill)) for m in names})
+    out, measures = spine, {c: F.col(c) for c in spine.columns}
+    for name, df in components.items():
+        fields = [c for c in df.columns if c not in on]
+        shared = [c for c in fields if c in measures]
+        if shared:
+            raise ValueError(f"{name} repeats columns {shared}")
+        packed = f"__{name}"
+        out = out.join(df.select(*on, F.struct(*fields).alias(packed)), list(on), "left")
+        measures |= {c: F.coalesce(F.col(f"{packed}.{c}"), F.lit(fill)) for c in fields}
+    return out.select(*[col.alias(name) for name, col in measures.items()])
 
 
 def reversal_join(

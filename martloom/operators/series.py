@@ -59,6 +59,15 @@ def _anchors(keys, order, fields, known):
     )
 
 
+def _neighbour_columns(order: str, value: str) -> list[Column]:
+    return [
+        F.col("__before.v").alias(f"prev_{value}"),
+        F.col("__before.at").alias(f"prev_{order}"),
+        F.col("__after.v").alias(f"next_{value}"),
+        F.col("__after.at").alias(f"next_{order}"),
+    ]
+
+
 def neighbour_values(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
     """Nearest non-zero value and its position on either side of each row of the key.
 
@@ -67,11 +76,7 @@ def neighbour_values(df: DataFrame, keys: Sequence[str], order: str, value: str)
     known = or_zero(F.col(value)) != 0
     before, after = _anchors(keys, order, [F.col(order).alias("at"), F.col(value).alias("v")], known)
     return df.withColumns({"__before": before, "__after": after}).select(
-        *df.columns,
-        F.col("__before.v").alias(f"prev_{value}"),
-        F.col("__before.at").alias(f"prev_{order}"),
-        F.col("__after.v").alias(f"next_{value}"),
-        F.col("__after.at").alias(f"next_{order}"),
+        *df.columns, *_neighbour_columns(order, value)
     )
 
 
@@ -83,6 +88,7 @@ def nearest_fill(
     bound: Sequence[str] = (),
     ties: str = "all",
     seq: str = "pk",
+    neighbours: bool = False,
 ) -> DataFrame:
     """For each empty (NULL or 0) row, the closest non-empty value of the same key.
 
@@ -90,7 +96,7 @@ def nearest_fill(
     the position within. ``ties="all"`` returns both of two equidistant anchors, "earlier"
     only the first. A gap without any anchor stays, with NULLs. Adds ``seq`` (row number
     within the key), ``fill_<seq>`` (number of the anchor among the key's anchors) and
-    ``fill_<value>``. Expects one row per key, bound and order: groups are bounded by the
+    ``fill_<value>``; with ``neighbours`` also the columns of :func:`neighbour_values`. Expects one row per key, bound and order: groups are bounded by the
     calendar, and all windows share one shuffle by ``keys``.
     """
     if ties not in ("all", "earlier"):
@@ -119,8 +125,10 @@ def nearest_fill(
                 F.when(left == near, F.col("__before")), F.when(right == near, F.col("__after"))
             )
         )
+    around = _neighbour_columns(order, value) if neighbours else []
     return gaps.withColumn("__fill", F.explode_outer(chosen)).select(
         *df.columns,
+        *around,
         seq,
         F.col("__fill.n").alias(f"fill_{seq}"),
         F.col("__fill.v").alias(f"fill_{value}"),

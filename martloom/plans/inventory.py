@@ -11,7 +11,7 @@ from ..functions import brand_prefix, safe_div
 from ..operators.aggregates import aging_value
 from ..operators.dedup import latest_per_key
 from ..operators.joins import DimJoin, enrich
-from ..operators.series import nearest_fill, neighbour_values, period_delta
+from ..operators.series import nearest_fill, period_delta
 from ..operators.unions import union_all
 from ..sources import latest_snapshot, window_to_max
 
@@ -123,25 +123,17 @@ def cost_gap_fill(
 
     All windows partition by the sku or finer, so the series is shuffled once.
     """
-    around = neighbour_values(
-        series.repartition("sku"), ["sku", "year_"], "month_", value
-    ).withColumnsRenamed(
-        {
-            f"next_{value}": "next_not_zero_value",
-            "next_month_": "next_not_zero_month",
-            f"prev_{value}": "prev_not_zero_value",
-            "prev_month_": "previous_not_zero_month",
-        }
-    )
-    filled = nearest_fill(around, ["sku"], "month_", value, bound=["year_"]).select(
+    filled = nearest_fill(
+        series, ["sku"], "month_", value, bound=["year_"], neighbours=True
+    ).select(
         "sku",
         "year_",
         "month_",
         value,
-        "next_not_zero_value",
-        "next_not_zero_month",
-        "prev_not_zero_value",
-        "previous_not_zero_month",
+        F.col(f"next_{value}").alias("next_not_zero_value"),
+        F.col("next_month_").alias("next_not_zero_month"),
+        F.col(f"prev_{value}").alias("prev_not_zero_value"),
+        F.col("prev_month_").alias("previous_not_zero_month"),
         "pk",
         F.col("fill_pk").alias("pk_cross_join"),
         F.col(f"fill_{value}").alias(f"{value}_cross_join"),

@@ -205,11 +205,11 @@ def _(spark, sf):
 
 @query(
     "account_open_events_day",
-    f"""SELECT * FROM ({ACCOUNT_SQL}) WHERE "OPERATION_START_DTTM" = DATE '1998-06-02'""",
+    f"""SELECT * FROM ({ACCOUNT_SQL}) WHERE "OPERATION_START_DTTM" = DATE '1998-12-09'""",
 )
 def _(spark, sf):
     """An incremental run for one day."""
-    return account_open_events(account_tables(spark, sf), day=dt.date(1998, 6, 2), groups=GROUPS)
+    return account_open_events(account_tables(spark, sf), day=dt.date(1998, 12, 9), groups=GROUPS)
 
 
 def repayment_tables(spark, sf) -> dict[str, DataFrame]:

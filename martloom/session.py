@@ -28,7 +28,10 @@ def local_session(app: str = "martloom", cpus: int | str = "*", memory: str = "8
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", memory)
+        # small test data would otherwise end up in one task after the first shuffle
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
