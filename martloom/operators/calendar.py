@@ -16,7 +16,13 @@ def calendar_spine(
     year_name: str = "year_",
     month_name: str = "month_",
 ) -> DataFrame:
-    """Every distinct key in every month of every year."""
+    """Every distinct key in every month of every year.
+
+    Distinct keys are few bytes, so adaptive execution would merge them into few partitions
+    just before each key becomes many rows. A fixed number of partitions (twice the default,
+    or the planner would drop the step as redundant) keeps the exploded spine spread out;
+    hash partitioning by key also serves later windows over the key.
+    """
     years, months = list(years), list(months)
     slots = F.array(
         *[
@@ -25,9 +31,11 @@ def calendar_spine(
             for m in months
         ]
     )
+    partitions = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.select(key)
         .distinct()
+        .repartition(partitions, key)
         .withColumn("__slot", F.explode(slots))
         .select(key, f"__slot.{year_name}", f"__slot.{month_name}")
     )

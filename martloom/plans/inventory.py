@@ -121,8 +121,11 @@ def cost_gap_fill(
 ) -> DataFrame:
     """Every month without a unit cost, with the nearest known cost of the same year.
 
-    All windows partition by the sku or finer, so the series is shuffled once.
+    All windows partition by the sku or finer, so the series is shuffled once. For ordered
+    output that one shuffle is by ranges of the sku, which the final sort then reuses.
     """
+    if ordered:
+        series = series.repartitionByRange("sku")
     filled = nearest_fill(
         series, ["sku"], "month_", value, bound=["year_"], neighbours=True
     ).select(
