@@ -110,7 +110,7 @@ def spine_join(
     sorted once, and all joins follow in one stage as merges along the same order. Each
     component travels as one struct, which later joins copy as a block instead of decoding
     every measure again. A component must not repeat a key, or it multiplies spine rows (see
-    ``assert_unique``).
+    ``assert_unique``). ``fill=None`` leaves the gaps NULL.
     """
     out, measures = spine, {c: F.col(c) for c in spine.columns}
     for name, df in components.items():
@@ -120,7 +120,10 @@ def spine_join(
             raise ValueError(f"{name} repeats columns {shared}")
         packed = f"__{name}"
         out = out.join(df.select(*on, F.struct(*fields).alias(packed)), list(on), "left")
-        measures |= {c: F.coalesce(F.col(f"{packed}.{c}"), F.lit(fill)) for c in fields}
+        found = {c: F.col(f"{packed}.{c}") for c in fields}
+        if fill is not None:
+            found = {c: F.coalesce(col, F.lit(fill)) for c, col in found.items()}
+        measures |= found
     return out.select(*[col.alias(name) for name, col in measures.items()])
 
 

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..functions.money import restore_units, whole_units
 
 
 def transpose_sum(
@@ -19,27 +20,17 @@ def transpose_sum(
 ) -> DataFrame:
     """One row per key, one amount column per type; NULL where a key has none of a type.
 
-    Each input row updates the sums of all types, so their cost decides. Decimals that fit a
-    long are summed as whole minor units, several times faster than as decimals and just as
-    exact: in ANSI mode a sum past the long range raises an error.
+    Each input row updates the sums of all types, so these run on whole money units.
     """
     names = types if isinstance(types, Mapping) else {t: t for t in types}
-    kind, of = F.col(type_col), df.schema[amount_col].dataType
-    ansi = df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
-    if not (ansi and isinstance(of, T.DecimalType) and of.precision <= 18):
-        return df.groupBy(*keys).agg(
-            *[F.sum(F.when(kind == v, F.col(amount_col))).alias(o) for o, v in names.items()]
-        )
-    units = (F.col(amount_col) * F.lit(10**of.scale)).cast("bigint")
-    sums = (
-        df.select(*keys, type_col, units.alias("__units"))
-        .groupBy(*keys)
-        .agg(*[F.sum(F.when(kind == v, F.col("__units"))).alias(o) for o, v in names.items()])
-    )
-    wide, scale = f"decimal(19,{of.scale})", F.lit(10**of.scale)
-    return sums.select(
-        *keys, *[(F.col(o).cast("decimal(19,0)") / scale).cast(wide).alias(o) for o in names]
+    slim, scales = whole_units(df.select(*keys, type_col, amount_col), [amount_col])
+    wide = slim.groupBy(*keys).agg(
+        *[
+            F.sum(F.when(F.col(type_col) == value, F.col(amount_col))).alias(out)
+            for out, value in names.items()
+        ]
     )
+    return restore_units(wide, {out: scales[amount_col] for out in names} if scales else {})
 
 
 def pivot_count_distinct(

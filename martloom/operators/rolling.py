@@ -113,6 +113,17 @@ def rolling_distinct(
     raise ValueError(f"unknown method: {method}")
 
 
+def roll_sketches(
+    daily: DataFrame, date: str, sketch: str, days: int, name: str = "users"
+) -> DataFrame:
+    """Distinct ids of the trailing ``days`` days from one sketch per day."""
+    return (
+        _spread(daily, date, days)
+        .groupBy(date)
+        .agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(name))
+    )
+
+
 def rolling_users(
     df: DataFrame,
     date: str,
@@ -136,12 +147,7 @@ def rolling_users(
     )
     if method == "hll":
         daily = seen.groupBy(date).agg(F.hll_sketch_agg(id_col, lg_k).alias("__sketch"))
-        out = (
-            _spread(daily, date, days)
-            .groupBy(date)
-            .agg(F.hll_sketch_estimate(F.hll_union_agg("__sketch")).alias(name))
-        )
-        return _clip(out, date, start, end)
+        return _clip(roll_sketches(daily, date, "__sketch", days, name), date, start, end)
     if method != "exact":
         raise ValueError(f"unknown method: {method}")
     # after distinct() an id has at most one row per calendar day

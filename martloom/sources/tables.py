@@ -103,18 +103,25 @@ def write_table(
     a partition value that holds very many rows.
     """
     out = df.hint("rebalance", *partition_by) if partition_by else df
-    writer = (
-        out.write.mode("overwrite")
-        .format("parquet")
-        .option("partitionOverwriteMode", "dynamic" if touched_only else "static")
-    )
+    writer = out.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if as_path:
-        writer.save(target)
+        mode = "dynamic" if touched_only else "static"
+        writer.option("partitionOverwriteMode", mode).save(target)
     elif touched_only and df.sparkSession.catalog.tableExists(target):
-        out.select(*df.sparkSession.table(target).columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(target)
+        _replace_partitions(out, target)
     else:
         writer.saveAsTable(target)
+
+
+def _replace_partitions(df: DataFrame, table: str) -> None:
+    """``insertInto`` takes its overwrite mode from the session alone."""
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        columns = df.sparkSession.table(table).columns
+        df.select(*columns).write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)
