@@ -2,10 +2,11 @@
 
 A plain window puts every row of one key into one task. That is right while a key holds
 a bounded number of rows (one per day or month). For keys without such a bound the
-``chunk`` argument names a column that never decreases along the order (its month, say):
-the window then runs per (key, chunk), and one summary row per chunk carries the count and
-the last value over to the next chunk. A key with a third of all rows is thereby spread
-over as many tasks as it has chunks.
+``chunk`` argument names a column that never decreases along the order (its day, say): the
+window then runs per (key, chunk). An aggregate, combined in the map tasks, finds the size
+and last row of every chunk; what came before a chunk is put in front of it as one extra
+row. The rows themselves are shuffled once, and a key with a third of all rows is spread
+over as many groups as it has chunks.
 """
 
 from __future__ import annotations
@@ -16,11 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import same_key
-
-_CHUNK, _SEQ, _SIZE, _LAST, _SKIP, _CARRY = (
-    "__chunk", "__seq", "__size", "__last", "__skip", "__carry",
-)
+_CHUNK, _SIZE, _LAST, _HEAD, _SKIP, _OWN = (
+    "__chunk", "__size", "__last", "__head", "__skip", "__own",
+)
 
 
 def sort_ascending(names: Sequence[str]) -> list[Column]:
@@ -46,43 +45,29 @@ def number_and_lag(
             added[seq] = F.row_number().over(w)
         return df.withColumns(added)
 
-    chunked = df.withColumn(_CHUNK, chunk)
-    w = W.partitionBy(*keys, _CHUNK).orderBy(*ranks)
-    rows = chunked.withColumns(
-        {_SEQ: F.row_number().over(w)}
-        | {name: F.lag(col).over(w) for name, col in lags.items()}
-        | {f"__own_{name}": col for name, col in lags.items()}
-    )
-    last = F.struct(F.lit(1).alias("any"), *[F.col(f"__own_{n}").alias(n) for n in lags])
-    across = W.partitionBy(*[f"__k{i}" for i in range(len(keys))]).orderBy(
-        F.col("__c").asc_nulls_last()
+    own = F.struct(F.lit(1).alias("any"), *[col.alias(name) for name, col in lags.items()])
+    body = df.withColumns({_CHUNK: chunk, _OWN: own})
+    # NULLs sort last, so they are the greatest
+    place = F.struct(
+        *[x for i, c in enumerate(order) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c))]
     )
-    summary = (
-        rows.groupBy(
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(_CHUNK).alias("__c")
-        )
-        .agg(F.count(F.lit(1)).alias(_SIZE), F.max_by(last, F.col(_SEQ)).alias(_LAST))
-        .withColumns(
-            {
-                _SKIP: F.sum(_SIZE).over(across.rowsBetween(W.unboundedPreceding, -1)),
-                _CARRY: F.lag(_LAST).over(across),
-            }
+    before = W.partitionBy(*keys).orderBy(F.col(_CHUNK).asc_nulls_last())
+    heads = (
+        body.groupBy(*keys, _CHUNK)
+        .agg(F.count(F.lit(1)).alias(_SIZE), F.max_by(_OWN, place).alias(_LAST))
+        .select(
+            *keys,
+            _CHUNK,
+            F.sum(_SIZE).over(before.rowsBetween(W.unboundedPreceding, -1)).alias(_SKIP),
+            F.lag(_LAST).over(before).alias(_OWN),
+            F.lit(True).alias(_HEAD),
         )
-        .drop(_SIZE, _LAST)
     )
-    match = same_key(
-        [(rows[k], summary[f"__k{i}"]) for i, k in enumerate(keys)]
-        + [(rows[_CHUNK], summary["__c"])]
-    )
-    first_in_chunk = F.col(_SEQ) == 1
-    out = {
-        name: F.when(first_in_chunk, F.col(f"{_CARRY}.{name}")).otherwise(F.col(name))
-        for name in lags
-    }
+    both = body.withColumn(_HEAD, F.lit(False)).unionByName(heads, allowMissingColumns=True)
+    w = W.partitionBy(*keys, _CHUNK).orderBy(F.col(_HEAD).desc(), *ranks)
+    added = {name: F.lag(_OWN).over(w)[name] for name in lags}
     if seq:
-        out[seq] = F.col(_SEQ) + F.coalesce(F.col(_SKIP), F.lit(0))
-    return (
-        rows.join(summary, match)
-        .withColumns(out)
-        .select(*df.columns, *[n for n in out if n not in df.columns])
-    )
+        skipped = F.coalesce(F.first(_SKIP).over(w), F.lit(0))
+        added[seq] = F.row_number().over(w) - F.lit(1) + skipped
+    out = both.withColumns(added).filter(~F.col(_HEAD))
+    return out.select(*df.columns, *[name for name in added if name not in df.columns])

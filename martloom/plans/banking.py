@@ -263,7 +263,10 @@ def account_open_events(
 
 
 def migration_periods(links: DataFrame, migrations: DataFrame) -> DataFrame:
-    """Which repayment account served a contract when: one period per account migration."""
+    """Which repayment account served a contract when: one period per account migration.
+
+    Chunked by day, so that a contract with very many migrations does not meet in one task.
+    """
     active = (
         (F.col("link_type") == REPAYMENT_LINK)
         & (F.col("fl_del") == 0)
@@ -277,7 +280,9 @@ def migration_periods(links: DataFrame, migrations: DataFrame) -> DataFrame:
             )
         ],
     )
-    return change_intervals(dated, "contract_id", "migration_date", ["account_id"])
+    return change_intervals(
+        dated, "contract_id", "migration_date", ["account_id"], chunk=F.col("migration_date")
+    )
 
 
 def early_repayment_events(

@@ -113,7 +113,7 @@ def fee_changes(
     )
     if not ordered:
         return changes
-    return changes.orderBy(F.col("asin").asc_nulls_last(), "sku", "row_num")
+    return changes.orderBy(F.col("asin").asc_nulls_last(), "sku", "row_num", "amount_description")
 
 
 def cost_gap_fill(
@@ -223,4 +223,7 @@ def restock_signal(
             )
         )
     report = union_all(parts)
-    return report.orderBy(F.col("days_of_supply_signal").asc_nulls_last()) if ordered else report
+    if not ordered:
+        return report
+    # the sku lets the sort split the many rows without a signal
+    return report.orderBy(F.col("days_of_supply_signal").asc_nulls_last(), "sku")

@@ -85,4 +85,5 @@ def newly_profitable(markets: Sequence[Market], ordered: bool = True) -> DataFra
     An article without any prior row has no total and does not qualify.
     """
     report = union_all([_one_market(m) for m in markets])
-    return report.orderBy(F.col("sum_gross_margin").desc_nulls_last()) if ordered else report
+    gain = F.col("sum_gross_margin").desc_nulls_last()
+    return report.orderBy(gain, "team", "asin") if ordered else report

@@ -126,4 +126,6 @@ def ad_efficiency(
     )
     if not ordered:
         return report
-    return report.orderBy("marketplace", F.col("sum_spend").desc_nulls_last())
+    # sku and ad let the sort split the many advertisements without spend
+    spend = F.col("sum_spend").desc_nulls_last()
+    return report.orderBy("marketplace", spend, "advertised_sku", "ad_id")

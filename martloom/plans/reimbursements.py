@@ -64,7 +64,10 @@ def destroyed_unreimbursed(
     report = union_all(parts)
     if not ordered:
         return report
-    return report.orderBy(F.col("date_correct").desc_nulls_last(), F.col("asin").asc_nulls_last())
+    # the reference id lets the sort split an article with very many events of one day
+    return report.orderBy(
+        F.col("date_correct").desc_nulls_last(), F.col("asin").asc_nulls_last(), "reference_id"
+    )
 
 
 def reimbursement_net(

@@ -40,9 +40,9 @@ def _(spark, sf):
           row_number() OVER (PARTITION BY o_custkey ORDER BY odate, o_orderkey) AS row_num FROM ord""",
 )
 def _(spark, sf):
-    """Numbered per customer and year, then carried over the years."""
+    """Numbered per customer and day, then carried over the days."""
     rows = orders(spark, sf).select("o_custkey", "o_orderkey", "odate")
-    return row_sequence(rows, ["o_custkey"], ["odate", "o_orderkey"], chunk=F.year("odate"))
+    return row_sequence(rows, ["o_custkey"], ["odate", "o_orderkey"], chunk=F.col("odate"))
 
 
 _MONTHLY = f"""{LI}, {ORD}, mon AS (SELECT l_partkey, l_returnflag, CAST(date_trunc('month', odate) AS DATE) AS period,
