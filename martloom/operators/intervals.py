@@ -16,8 +16,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DimJoin, enrich
+from .joins import DimJoin, enrich, semi_by_hash
 from .ordered import number_and_lag
+from .skew import key_hash
 
 _EPOCH = dt.date(1970, 1, 1)
 
@@ -73,7 +74,15 @@ def within_days_flag(
     found = F.coalesce(F.col("__last") >= F.col("__at"), F.lit(False)) | F.coalesce(
         F.col("__first") <= F.date_add("__at", days), F.lit(False)
     )
-    match = _equal(placed, reach, on, placed["__own"] == reach["__bucket"])
+    placed = placed.withColumn("__h", key_hash(*[placed[k] for k in on], placed["__own"]))
+    reach = reach.withColumn("__rh", key_hash(*[reach[f"__{k}"] for k in on], reach["__bucket"]))
+    match = _equal(
+        placed,
+        reach,
+        on,
+        placed["__own"] == reach["__bucket"],
+        placed["__h"] == reach["__rh"],
+    )
     return placed.join(reach, match, "left").select(
         *[placed[c] for c in events.columns], found.alias(name)
     )
@@ -139,11 +148,11 @@ def anti_within_days(
     matched NULL id leaves nothing, and a reported NULL id stays only if nothing matched.
     """
     ids = reported.select(F.col(id_col).alias("__id")).distinct()
-    relevant = events.join(ids, events[id_col] == ids["__id"], "left_semi")
+    relevant = semi_by_hash(events, ids, {id_col: "__id"}, "left_semi")
     matched = within_days_join(relevant, records, on, event_date, record_date, days, "semi").select(
         F.col(id_col).alias("__id")
     )
-    kept = reported.join(matched.distinct(), reported[id_col] == F.col("__id"), "left_anti")
+    kept = semi_by_hash(reported, matched.distinct(), {id_col: "__id"}, "left_anti")
     if not null_aware:
         return kept
     # one row of facts about the whole matched set: any member at all, any NULL member

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import has_value
+from .skew import key_hash
 
 
 @dataclass(frozen=True)
@@ -24,7 +25,8 @@ class DimJoin:
     (or expressions over them). ``where`` restricts the lookup *before* the join, so facts
     without a match survive a left join. ``valid`` is ``(fact date, from, to)``: the lookup
     row must be valid on that date. An empty ``take`` still multiplies rows when the lookup
-    is not unique, as a SQL join does.
+    is not unique, as a SQL join does. ``split`` is for a lookup that was itself aggregated by
+    its keys: it lets very frequent fact keys be split (see :mod:`martloom.operators.skew`).
     """
 
     dim: DataFrame
@@ -34,6 +36,7 @@ class DimJoin:
     where: Column | None = None
     valid: tuple[str, str, str] | None = None
     unique: bool = False
+    split: bool = False
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,6 +61,10 @@ def enrich(facts: DataFrame, dims: Iterable[DimJoin]) -> DataFrame:
         match = reduce(
             lambda a, b: a & b, [facts[c] == side[f"__on{i}"] for i, c in enumerate(dim.on)]
         )
+        if dim.split:
+            fact_hash = key_hash(*[facts[c] for c in dim.on])
+            side = side.withColumn("__h", key_hash(*[side[f"__on{i}"] for i in range(len(dim.on))]))
+            match = match & (fact_hash == side["__h"])
         if dim.valid:
             match = match & facts[dim.valid[0]].between(side["__from"], side["__to"])
         facts = facts.join(side, match, dim.how).select(
@@ -92,13 +99,29 @@ def lookup_chain(
 def exists_in(
     df: DataFrame, other: DataFrame, on: Mapping[str, str], sentinel: str | None = None
 ) -> DataFrame:
-    """Rows whose key occurs in ``other``. A key equal to ``sentinel`` counts as missing."""
+    """Rows whose key occurs in ``other``. A key equal to ``sentinel`` counts as missing.
+
+    Rows of a very frequent key are split over tasks, see :mod:`martloom.operators.skew`.
+    """
     if sentinel is not None:
         for col in on.values():
             other = other.filter(has_value(F.col(col), sentinel))
-    keys = other.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(on.values())]).distinct()
-    match = reduce(lambda a, b: a & b, [df[c] == keys[f"__k{i}"] for i, c in enumerate(on)])
-    return df.join(keys, match, "left_semi")
+    names = [f"__k{i}" for i in range(len(on))]
+    keys = other.select(*[F.col(c).alias(n) for n, c in zip(names, on.values())]).distinct()
+    return semi_by_hash(df, keys, dict(zip(on, names)), "left_semi")
+
+
+def semi_by_hash(
+    df: DataFrame, keys: DataFrame, on: Mapping[str, str], how: str
+) -> DataFrame:
+    """Semi or anti join with distinct keys, such that skewed rows can still be split."""
+    left = df.withColumn("__h", key_hash(*[df[c] for c in on]))
+    right = keys.withColumn("__h", key_hash(*[keys[k] for k in on.values()]))
+    match = reduce(
+        lambda a, b: a & b,
+        [left["__h"] == right["__h"], *[left[c] == right[k] for c, k in on.items()]],
+    )
+    return left.join(right, match, how).drop("__h")
 
 
 def spine_join(

@@ -407,6 +407,7 @@ def early_repayment_events(
                 phone,
                 {"hid_party": "hid_party"},
                 {"telephone": "telephone", "countrycode": "countrycode"},
+                split=True,
             ),
         ],
     )

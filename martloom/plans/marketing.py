@@ -97,7 +97,11 @@ def ad_efficiency(
     group = latest_per_key(planning_us, ["asin"], ["snapshot_date"], ["product_group"])
     us = enrich(
         _with_pnl(ads_us, results_us, as_of),
-        [DimJoin(group, {"advertised_asin": "asin"}, {"product_group": "product_group"})],
+        [
+            DimJoin(
+                group, {"advertised_asin": "asin"}, {"product_group": "product_group"}, split=True
+            )
+        ],
     )
     ca = _with_pnl(ads_ca, results_ca, as_of).withColumn(
         "product_group", F.lit(None).cast(us.schema["product_group"].dataType)

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from martloom.operators.aggregates import partition_total
 from martloom.operators.calendar import calendar_spine
 from martloom.operators.dedup import latest_per_key
-from martloom.operators.intervals import within_days_flag
+from martloom.operators.intervals import anti_within_days, valid_at_join, within_days_flag
+from martloom.operators.joins import DimJoin, enrich, exists_in
 from martloom.operators.pivots import transpose_sum
 from martloom.plans import cost_gap_fill
 from martloom.sources import event_day, latest_snapshot, load, trailing_days, window_to_max
@@ -77,7 +79,51 @@ def test_existence_in_range_never_pairs(no_broadcast, sf_dir):
     flagged = within_days_flag(lines, lines, ["l_partkey"], "l_shipdate", "l_shipdate", 30)
     text = plan(flagged)
     assert text.count("Join") == 1
-    assert re.search(r"SortMergeJoin \[l_partkey#\d+L, __own#\d+\]", text)
+    assert re.search(r"SortMergeJoin \[l_partkey#\d+L, __own#\d+, __h#\d+L\]", text)
+
+
+@pytest.fixture(scope="module")
+def skewed(no_broadcast):
+    """Settings under which this small data counts as skewed, and a third of it on one key."""
+    spark = no_broadcast
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.files.maxPartitionBytes": "64k",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    rows = spark.range(0, 90_000, 1, 12).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.xxhash64("id") % 5000).alias("k"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 5).cast("int")).alias("d"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    yield rows
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def ran(df):
+    df.collect()
+    return plan(df)
+
+
+def test_hot_keys_are_split(skewed):
+    on = {"k": "k"}
+    assert "skew=true" in ran(exists_in(skewed, skewed.filter("k < 100"), on))
+    assert "skew=true" in ran(partition_total(skewed, ["k"], "id", "s"))
+    assert "skew=true" in ran(within_days_flag(skewed, skewed, ["k"], "d", "d", 30))
+    ids = skewed.withColumnRenamed("k", "ref").withColumn("k", F.col("id") % 50)
+    claims = ids.filter("k < 25")
+    assert "skew=true" in ran(anti_within_days(ids, ids, claims, ["k"], "d", "d", 30, "ref"))
+    names = skewed.select("k").distinct().withColumn("v", F.lit(1))
+    assert "skew=true" in ran(enrich(skewed, [DimJoin(names, on, {"v": "v"}, split=True)]))
+    spans = names.withColumns({"f": F.lit(dt.date(2023, 1, 1)), "t": F.lit(dt.date(2025, 1, 1))})
+    joined = valid_at_join(skewed, spans, on, "d", "f", "t", {"v": "v"}, bucket_days=31)
+    assert "skew=true" in ran(joined)
 
 
 def test_gap_fill_shuffles_its_series_once(spark, sf_dir):
