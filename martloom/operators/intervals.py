@@ -155,15 +155,22 @@ def anti_within_days(
     kept = semi_by_hash(reported, matched.distinct(), {id_col: "__id"}, "left_anti")
     if not null_aware:
         return kept
-    # one row of facts about the whole matched set: any member at all, any NULL member
-    members = within_days_flag(events, records, on, event_date, record_date, days, "__m")
-    members = members.filter("__m")
-    facts = members.select(
-        F.struct(
-            F.coalesce(F.bool_or(F.col(id_col).isNull()), F.lit(False)).alias("has_null"),
-            (F.count(F.lit(1)) == 0).alias("empty"),
+    # One row of facts about the whole matched set: any member at all, any NULL member. Keys
+    # and days suffice for it, so the history shrinks to these before it is matched.
+    days_seen = events.select(
+        *on, F.to_date(event_date).alias("__day"), F.col(id_col).isNull().alias("__unknown")
+    ).distinct()
+    members = within_days_flag(days_seen, records, on, "__day", record_date, days, "__m")
+    facts = (
+        members.filter("__m")
+        .select(
+            F.struct(
+                F.coalesce(F.bool_or("__unknown"), F.lit(False)).alias("has_null"),
+                (F.count(F.lit(1)) == 0).alias("empty"),
+            )
         )
-    ).scalar()
+        .scalar()
+    )
     return kept.filter(~facts["has_null"] & (F.col(id_col).isNotNull() | facts["empty"]))
 
 
