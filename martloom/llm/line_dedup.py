@@ -95,8 +95,9 @@ def drop_spread_lines(
         .agg(F.collect_set("at").alias("__gone"))
     )
     text = F.col(text_col)
+    # the short side is hashed, so that texts need not be sorted
     joined = docs.join(
-        gone, (docs[id_col] == F.col("__id")) & (F.xxhash64(text) == F.col("__h")), "left"
+        gone.hint("shuffle_hash"), (docs[id_col] == F.col("__id")) & (F.xxhash64(text) == F.col("__h")), "left"
     )
     every = F.sequence(F.lit(0), F.size(_split(text)) - 1)
     left = F.transform(

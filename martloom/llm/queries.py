@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.common import table
+from martloom.llm import langid, toxicity
+from martloom.llm.common import Scratch, crc_mod, table
 from martloom.llm.line_dedup import drop_spread_lines
+from martloom.llm.mixing import mix
+from martloom.llm.neighbours import nearest_neighbours
+from martloom.llm.pieces import encode_texts
 from martloom.llm.quality import judge_quality
 from martloom.llm.simhash import simhash_groups
+from martloom.llm.substrings import drop_repeats
+from martloom.llm.warc import warc_round_trip
 
 QUERIES, ORACLES = {}, {}
 
@@ -23,6 +29,96 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary_path() -> str:
+    """The installed public vocabulary with byte pieces; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op1_nearest_neighbours")
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), vocabulary_path()
+    model = langid.fit(docs, path)
+    rows = docs.select("doc_id", "text", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"))
+    found = langid.predict_language(rows, model, path)
+    return found.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", "text", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"))
+    return toxicity.score_toxicity(rows, model).select(
+        "doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def _mix_sql(rounds: int = 12) -> str:
+    """The same raking, one common table per step; the factor from the cells in order of rate."""
+    steps, last = [], "goals"
+    for i in range(3 * rounds):
+        k = i % 3
+        steps.append(f"r{i} as (select * replace (w * g{k} / sum(w) over (partition by k{k}) as w) from {last})")
+        last = f"r{i}"
+    goal = [
+        f"m{k} as (select k{k}, pow(cast(sum(tokens) as double), 0.7) as r from cells group by k{k})" for k in range(3)
+    ]
+    return rf"""
+with d as (
+  select doc_id, source as k0, lang as k1,
+         case when contains(t, ' | ') then 'table' when contains(t, 'icense') then 'legal'
+              when contains(t, '@') then 'contact'
+              when contains(t, '***') or contains(t, '$$$') or contains(t, '!!') then 'noisy'
+              else 'prose' end as k2,
+         len(regexp_extract_all(t, '[^ 	-
+]+')) as tokens
+  from (select *, coalesce(text, '') as t from documents)),
+cells as (select k0, k1, k2, sum(tokens) as tokens from d group by all having sum(tokens) > 0),
+{", ".join(goal)},
+goals as (
+  select c.k0, c.k1, c.k2, c.tokens, cast(c.tokens as double) as w,
+         m0.r / (select sum(r) from m0) as g0, m1.r / (select sum(r) from m1) as g1,
+         m2.r / (select sum(r) from m2) as g2
+  from cells c join m0 on c.k0 is not distinct from m0.k0 join m1 on c.k1 is not distinct from m1.k1
+       join m2 on c.k2 is not distinct from m2.k2),
+{", ".join(steps)},
+f as (
+  select *, (0.8 * sum(tokens) over () - coalesce(sum(tokens) over before, 0))
+            / (sum(w) over () - coalesce(sum(w) over before, 0)) as c
+  from {last}
+  window before as (order by w / tokens desc, k0, k1, k2 rows between unbounded preceding and 1 preceding)),
+chosen as (select max(c) filter (c * w / tokens < 1) as c from f),
+p as (
+  select k0, k1, k2, round(least(1.0, chosen.c * w / tokens), 9) as p from {last}, chosen)
+select doc_id, d.k0 as source, d.k1 as lang, d.k2 as topic, cast(d.tokens as bigint) as n_tokens,
+       coalesce(p, 1.0) as probability,
+       coalesce(p, 1.0) >= 1 or cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), 'null')), 1, 12) as bigint)
+         / 281474976710656.0 < p as kept
+from d left join p on d.k0 is not distinct from p.k0 and d.k1 is not distinct from p.k1 and d.k2 = p.k2
+"""
+
+
+@query("op4_mix_sources", _mix_sql())
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept"
+    )
+
+
+@query("op5_sentencepiece")
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_texts(rows, vocabulary_path()).drop("text")
+
+
 QUALITY_SQL = r"""
 with w as (
   select doc_id, lang, source, coalesce(text, '') as t,
@@ -135,3 +231,26 @@ from documents d left join kept k on k.doc_id = d.doc_id
 @query("op10_line_dedup", LINES_SQL)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_spread_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"), with_kept=False).drop("kept")
+
+
+WARC_SQL = r"""
+with p as (
+  select page_id, coalesce(html, '') as html, cast(strlen(coalesce(html, '')) as bigint) as n from pages),
+best as (select html, max(page_id) as best from p where n >= 1000 group by html),
+r as (select p.*, best.best from p left join best on best.html = p.html and p.n >= 1000)
+select page_id, n as payload_bytes, sha1(html) as payload_digest,
+       case when best is null or best = page_id then 'response' else 'revisit' end as record_type,
+       case when best <> page_id then best end as refers_to
+from r
+"""
+
+
+@query("op9_warc_archive", WARC_SQL)
+def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "warc").root
+    return warc_round_trip(table(spark, sf_dir, "pages"), path)

@@ -157,4 +157,5 @@ def simhash_dedup(
     """
     groups = simhash_groups(docs, id_col, text_col, width=width, tau=tau)
     gone = groups.where("id is not null and id <> component").select(F.col("id").alias("__gone"))
-    return docs.join(gone.distinct(), docs[id_col] == F.col("__gone"), "left_anti")
+    # the short side is hashed, so that texts need not be sorted
+    return docs.join(gone.distinct().hint("shuffle_hash"), docs[id_col] == F.col("__gone"), "left_anti")
