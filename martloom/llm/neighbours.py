@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import Scratch, partitions
 
-LEAF = 64  # nodes compared with each other when the first graph is made
-PART = 4096  # nodes of one range of a random projection
+LEAF = 512  # nodes compared with each other when the first graph is made
+PART = 8192  # nodes of one range of a random projection
 
 
 def _matrix(column, kind: str) -> np.ndarray:
@@ -206,10 +206,10 @@ def build_graph(
     nodes: DataFrame,
     scratch: Scratch,
     *,
-    k: int = 24,
-    reverse: int = 16,
+    k: int = 48,
+    reverse: int = 32,
     trees: int = 4,
-    rounds: int = 4,
+    rounds: int = 5,
     settled: float = 0.02,
     seed: int = 5,
 ) -> DataFrame:
@@ -244,7 +244,8 @@ def build_graph(
         after = scratch.write(_top(both, "u", k))
         scratch.drop(edges)
         edges = after
-        if edges.where("fresh").count() <= settled * n * k:
+        fresh = edges.where("fresh").count()
+        if fresh <= settled * n * k:
             break
     return edges.select("u", "v", "sim")
 
@@ -275,8 +276,8 @@ def greedy_search(
     nodes: DataFrame,
     scratch: Scratch,
     *,
-    keep: int = 64,
-    expand: int = 10,
+    keep: int = 128,
+    expand: int = 32,
     rounds: int = 4,
 ) -> DataFrame:
     """(q, node, sim): up to ``keep`` near nodes of each query, by the lifted vectors.
