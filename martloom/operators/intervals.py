@@ -145,7 +145,8 @@ def anti_within_days(
 
     ``events`` is the whole history: an id counts as matched through any of its events. Only
     the history of reported ids is matched. ``null_aware`` follows SQL ``NOT IN``: one
-    matched NULL id leaves nothing, and a reported NULL id stays only if nothing matched.
+    matched NULL id leaves nothing, and a reported NULL id stays only if nothing matched;
+    whether a reported row has no id is looked up once, while the plan is made.
     """
     ids = reported.select(F.col(id_col).alias("__id")).distinct()
     relevant = semi_by_hash(events, ids, {id_col: "__id"}, "left_semi")
@@ -153,25 +154,28 @@ def anti_within_days(
         F.col(id_col).alias("__id")
     )
     kept = semi_by_hash(reported, matched.distinct(), {id_col: "__id"}, "left_anti")
-    if not null_aware:
+    if not null_aware or not events.schema[id_col].nullable:
         return kept
-    # One row of facts about the whole matched set: any member at all, any NULL member. Keys
-    # and days suffice for it, so the history shrinks to these before it is matched.
-    days_seen = events.select(
-        *on, F.to_date(event_date).alias("__day"), F.col(id_col).isNull().alias("__unknown")
-    ).distinct()
-    members = within_days_flag(days_seen, records, on, "__day", record_date, days, "__m")
-    facts = (
-        members.filter("__m")
-        .select(
-            F.struct(
-                F.coalesce(F.bool_or("__unknown"), F.lit(False)).alias("has_null"),
-                (F.count(F.lit(1)) == 0).alias("empty"),
-            )
-        )
-        .scalar()
-    )
-    return kept.filter(~facts["has_null"] & (F.col(id_col).isNotNull() | facts["empty"]))
+
+    def any_matched(some: DataFrame) -> Column:
+        # keys and days suffice, so the history shrinks to these before it is matched
+        seen = some.select(*on, F.to_date(event_date).alias("__day")).distinct()
+        flagged = within_days_flag(seen, records, on, "__day", record_date, days, "__m")
+        return flagged.select(F.coalesce(F.bool_or("__m"), F.lit(False))).scalar()
+
+    # Only events without an id can make the set hold a NULL; that test reaches their scan.
+    kept = kept.filter(~any_matched(events.filter(F.col(id_col).isNull())))
+    # The whole history matters only to a reported row without an id, which is looked for first.
+    if reported.filter(F.col(id_col).isNull()).isEmpty():
+        return kept
+    return kept.filter(F.col(id_col).isNotNull() | ~any_matched(events))
+
+
+def date_span(df: DataFrame, date_col: str) -> tuple[Column, Column]:
+    """First and last date of a table, as scalar subqueries for a ``date_range``."""
+    day = F.to_date(F.col(date_col))
+    ends = df.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+    return ends["lo"], ends["hi"]
 
 
 def valid_at_join(
@@ -184,22 +188,24 @@ def valid_at_join(
     take: Mapping[str, str | Column],
     how: str = "left",
     bucket_days: int | None = None,
-    date_range: tuple[dt.date, dt.date] | None = None,
+    date_range: tuple[dt.date | Column, dt.date | Column] | None = None,
 ) -> DataFrame:
     """Attach the lookup row valid on the fact's date, both ends included.
 
-    ``date_range``, the span of the facts' dates where known, drops lookup rows not valid in
-    it. ``bucket_days`` is for keys with very many validity rows: the rows are repeated for
+    ``date_range``, the span of the facts' dates where known (dates, or columns such as
+    :func:`date_span` gives; a wider span is harmless), drops lookup rows not valid in it; without
+    it, buckets need a pass over the facts. ``bucket_days`` is for keys with very many validity rows: the rows are repeated for
     each bucket they cover within the facts' span, and the bucket joins the key, so a fact
     only meets the rows of its own bucket.
     """
     starts, ends = F.col(valid_from), F.col(valid_to)
     if date_range:
-        dim = dim.filter((starts <= F.lit(date_range[1])) & (ends >= F.lit(date_range[0])))
+        date_range = tuple(d if isinstance(d, Column) else F.lit(d) for d in date_range)
+        dim = dim.filter((starts <= date_range[1]) & (ends >= date_range[0]))
     if bucket_days is None:
         return enrich(facts, [DimJoin(dim, on, take, how, valid=(at, valid_from, valid_to))])
     if date_range:
-        lo, hi = (_bucket(F.lit(d), bucket_days) for d in date_range)
+        lo, hi = (_bucket(d, bucket_days) for d in date_range)
     else:
         span = facts.select(F.to_date(at).alias("d")).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
         ends_of = span.select(
@@ -237,6 +243,7 @@ def open_interval_join(
     take: Mapping[str, str | Column],
     how: str = "left",
     bucket_days: int | None = None,
+    date_range: tuple[dt.date | Column, dt.date | Column] | None = None,
 ) -> DataFrame:
     """``valid_at_join`` over intervals whose open ends fall back to other columns."""
     closed = dim.withColumns(
@@ -246,7 +253,7 @@ def open_interval_join(
         }
     )
     return valid_at_join(
-        facts, closed, on, at, "__from", "__until", take, how, bucket_days=bucket_days
+        facts, closed, on, at, "__from", "__until", take, how, bucket_days, date_range
     )
 
 

@@ -20,17 +20,18 @@ def transpose_sum(
 ) -> DataFrame:
     """One row per key, one amount column per type; NULL where a key has none of a type.
 
-    Each input row updates the sums of all types, so these run on whole money units.
+    Each input row updates the sums of all types, so these run on whole money units where the type of
+    the amounts leaves room for that.
     """
     names = types if isinstance(types, Mapping) else {t: t for t in types}
-    slim, scales = whole_units(df.select(*keys, type_col, amount_col), [amount_col])
+    slim, money = whole_units(df.select(*keys, type_col, amount_col), [amount_col])
     wide = slim.groupBy(*keys).agg(
         *[
             F.sum(F.when(F.col(type_col) == value, F.col(amount_col))).alias(out)
             for out, value in names.items()
         ]
     )
-    return restore_units(wide, {out: scales[amount_col] for out in names} if scales else {})
+    return restore_units(wide, {out: money[amount_col] for out in names} if money else {})
 
 
 def pivot_count_distinct(

@@ -33,6 +33,14 @@ def _clip(df: DataFrame, date: str, start: dt.date | None, end: dt.date | None)
     return df
 
 
+def _reach(
+    df: DataFrame, date: str, days: int, start: dt.date | None, end: dt.date | None
+) -> DataFrame:
+    """Rows that lie in some window whose date is in [start, end)."""
+    first = None if start is None else start - dt.timedelta(days=days - 1)
+    return _clip(df, date, first, end)
+
+
 def daily_distinct(
     df: DataFrame,
     date: str,
@@ -78,6 +86,8 @@ def rolling_distinct(
     whose window is empty do not appear.
     """
     counts = [name, *(categories or {})]
+    # before any spine: one stray date would stretch it over all days up to there
+    df = _reach(df, date, days, start, end)
     if method == "explode":
         cols = [date, *id_cols, *([category_col] if categories else [])]
         copies = df.select(*cols).distinct()
@@ -145,6 +155,8 @@ def rolling_users(
     seen = df.select(F.col(date), F.col(id_col)).filter(
         F.col(date).isNotNull() & F.col(id_col).isNotNull()
     )
+    # before any spine: one stray date would stretch it over all days up to there
+    seen = _reach(seen, date, days, start, end)
     if method == "hll":
         daily = seen.groupBy(date).agg(F.hll_sketch_agg(id_col, lg_k).alias("__sketch"))
         return _clip(roll_sketches(daily, date, "__sketch", days, name), date, start, end)

@@ -1,6 +1,6 @@
 """The thirteen reports, each a composition of operators over its input tables."""
 
-from .banking import account_open_events, early_repayment_events
+from .banking import account_open_events, early_repayment_events, load_account_day
 from .inventory import cost_gap_fill, fee_changes, inventory_aging_value, restock_signal
 from .lifecycle import Market, newly_profitable
 from .marketing import ad_efficiency
@@ -18,6 +18,7 @@ __all__ = [
     "early_repayment_events",
     "fee_changes",
     "inventory_aging_value",
+    "load_account_day",
     "merged_tickets",
     "monthly_pnl",
     "newly_profitable",

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import concat0, flag_from_presence, mask_phone
 from ..operators.dedup import latest_per_key
 from ..operators.events import event_row
-from ..operators.intervals import change_intervals, open_interval_join, valid_at_join
+from ..operators.intervals import change_intervals, date_span, open_interval_join, valid_at_join
 from ..operators.joins import DimJoin, enrich
-from ..sources import event_day
+from ..sources import event_day, write_table
 
 # Fixed values of the account-opening feed.
 SOURCES = ("3C", "NOM")
@@ -39,6 +39,10 @@ ASSET = "A"
 MISSING_NAME = "N/A"
 
 
+# Days of a validity bucket: keys with very many validity rows are split by it.
+BUCKET_DAYS = 366
+
+
 def _full_name(prefix: str, missing: str | None = None) -> Column:
     """Upper-case name parts joined by blanks; ``missing`` where no part is known."""
     parts = [F.col(f"{prefix}{p}") for p in ("surname", "name", "patronymic")]
@@ -66,16 +70,14 @@ def account_open_events(
     """
     deals = t["deals"].filter(F.col("source_id").isin(*SOURCES))
     accounts = t["accounts"].filter(F.col("source_id").isin(*SOURCES))
+    closed = F.coalesce(F.col("deal_closed_date"), F.lit(NOT_CLOSED))
+    deals = deals.filter((F.col("deal_fd") >= F.lit(first_day)) | (closed >= F.lit(first_day)))
     if day is not None:
         deals = event_day(deals, "deal_fd", day)
         accounts = event_day(accounts, "open_dt", day)
-    else:
-        closed = F.coalesce(F.col("deal_closed_date"), F.lit(NOT_CLOSED))
-        deals = deals.filter(
-            (F.col("deal_fd") >= F.lit(first_day)) | (closed >= F.lit(first_day))
-        )
     from_sources = F.col("source_id").isin(*SOURCES)
-    span = None if day is None else (day, day)
+    # a superset of the report's dates is enough to place the validity buckets
+    span = date_span(accounts, "open_dt") if day is None else (day, day)
 
     opened = enrich(
         deals.select(
@@ -112,6 +114,7 @@ def account_open_events(
         "d_close",
         {"operator_id": "operator_id"},
         how="inner",
+        bucket_days=BUCKET_DAYS,
         date_range=span,
     )
     opened = enrich(
@@ -155,6 +158,7 @@ def account_open_events(
         "dt_bgn",
         "dt_end",
         {"ag_id": "ag_id"},
+        bucket_days=BUCKET_DAYS,
         date_range=span,
     )
     placed = enrich(
@@ -194,6 +198,7 @@ def account_open_events(
         "date_from",
         "date_to",
         {"product_group_id": "product_group_id"},
+        bucket_days=BUCKET_DAYS,
         date_range=span,
     )
     named = enrich(
@@ -262,6 +267,24 @@ def account_open_events(
     )
 
 
+def load_account_day(
+    t: Mapping[str, DataFrame],
+    day: dt.date,
+    target: str,
+    as_path: bool = False,
+    groups: Sequence[int] = ACCOUNT_GROUPS,
+    first_day: dt.date = FIRST_DAY,
+) -> None:
+    """Load one day of the account feed into its table; the other days stay as they are.
+
+    The table is partitioned by the day, so a rerun replaces that day alone. A day without events
+    leaves the table unchanged.
+    """
+    events = account_open_events(t, day, groups, first_day)
+    events = events.withColumn("load_day", F.to_date("OPERATION_START_DTTM"))
+    write_table(events, target, ["load_day"], touched_only=True, as_path=as_path)
+
+
 def migration_periods(links: DataFrame, migrations: DataFrame) -> DataFrame:
     """Which repayment account served a contract when: one period per account migration.
 
@@ -288,13 +311,13 @@ def migration_periods(links: DataFrame, migrations: DataFrame) -> DataFrame:
 def early_repayment_events(
     t: Mapping[str, DataFrame],
     tie_break: Sequence[str] = ("id",),
-    bucket_days: int | None = None,
+    bucket_days: int = BUCKET_DAYS,
     product_bounded: bool = True,
 ) -> DataFrame:
     """One event per contract and repayment day, with the balance of the account that served
     the contract on that day.
 
-    ``bucket_days`` guards contracts with very many migrations. ``product_bounded`` asks for
+    ``bucket_days`` guards contracts with very many migrations or product changes. ``product_bounded`` asks for
     product names valid on the day.
     """
     entered = t["repayments"].filter(F.col("operator_cre_id") != SYSTEM_OPERATOR)
@@ -310,7 +333,10 @@ def early_repayment_events(
         "db_accnt_id",
     )
     periods = migration_periods(t["account_contracts"], t["migrations"])
+    # from the stored column: a superset of the seed's dates places the buckets as well
+    span = date_span(t["repayments"], "dt")
     bounds = {
+        "date_range": span,
         "at": "dt",
         "start": "start_dt",
         "start_default": "dt_bgn",
@@ -419,13 +445,16 @@ def early_repayment_events(
         "date_from",
         "date_to",
         {"product_group_id": "product_group_id"},
+        bucket_days=bucket_days,
+        date_range=span,
     )
     product = {"product_name": "product_name", "group_name": "group_name"}
     on_group = {"product_group_id": "group3_id"}
     if product_bounded:
         events = valid_at_join(
-            events, t["product_star"], on_group, "dt", "date_from", "date_to", product
-        )
+            events, t["product_star"], on_group, "dt", "date_from", "date_to", product,
+            bucket_days=bucket_days, date_range=span,
+        )
     else:
         events = enrich(events, [DimJoin(t["product_star"], on_group, product)])
     events = enrich(

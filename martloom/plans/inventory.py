@@ -52,11 +52,20 @@ def inventory_aging_value(
         supplier_orders.filter(F.col("team").isin(*teams)), ["asin"], ["date"], tie_break
     ).select("asin", "team")
     cost = supplier_orders.groupBy("asin").agg(F.avg("cost_per_item").alias("unit_cost"))
-    by_article = enrich(team, [DimJoin(cost, {"asin": "asin"}, {"unit_cost": "unit_cost"})])
+    by_article = enrich(
+        team, [DimJoin(cost, {"asin": "asin"}, {"unit_cost": "unit_cost"}, split=True)]
+    )
     valued = aging_value(
         enrich(
             stock,
-            [DimJoin(by_article, {"asin": "asin"}, {"team": "team", "unit_cost": "unit_cost"})],
+            [
+                DimJoin(
+                    by_article,
+                    {"asin": "asin"},
+                    {"team": "team", "unit_cost": "unit_cost"},
+                    split=True,
+                )
+            ],
         ),
         {f"{b}_usd": b for b in AGE_BUCKETS},
         "unit_cost",
@@ -187,8 +196,10 @@ def restock_signal(
         start = F.lit(None).cast("date")
         recent = sales
         if market in windowed:
-            start = F.date_sub(newest, days)
-            recent = window_to_max(sales, "purchase_date", days, inclusive_start)
+            # one bound: the stamp shows the first day that the filter lets through
+            start = F.date_sub(newest, days if inclusive_start else days - 1)
+            kind = sales.schema["purchase_date"].dataType
+            recent = sales.filter(F.col("purchase_date") >= start.cast(kind))
         shipped = (
             recent.filter(F.col("order_status") == SHIPPED)
             .groupBy("sku")

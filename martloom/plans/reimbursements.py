@@ -91,15 +91,20 @@ def reimbursement_net(
         "amount_total",
     ).filter(originals)
     repeats = F.greatest(F.col("n_reversals"), F.lit(1)) if repeat_originals else F.lit(1)
+    # one row per id first: counting ids is then plain, and no row is copied per distinct count
+    per_id = claims.groupBy("year", "month", *keys, "reimbursement_id").agg(
+        F.max(F.when(F.col("n_reversals") > 0, 1)).alias("reversed"),
+        F.sum(F.col("amount_total") * repeats).alias("gross"),
+        F.sum("reversed_amount").alias("taken_back"),
+    )
+    known = F.col("reimbursement_id").isNotNull()
     per_article = (
-        claims.groupBy("year", "month", *keys)
+        per_id.groupBy("year", "month", *keys)
         .agg(
-            F.count_distinct("reimbursement_id").alias("claims"),
-            F.count_distinct(F.when(F.col("n_reversals") > 0, F.col("reimbursement_id"))).alias(
-                "reversed"
-            ),
-            F.sum(F.col("amount_total") * repeats).alias("gross"),
-            F.coalesce(F.sum("reversed_amount"), F.lit(0)).alias("taken_back"),
+            F.count(F.when(known, 1)).alias("claims"),
+            F.count(F.when(known, F.col("reversed"))).alias("reversed"),
+            F.sum("gross").alias("gross"),
+            F.coalesce(F.sum("taken_back"), F.lit(0)).alias("taken_back"),
         )
         .withColumn("net", F.col("gross") + F.col("taken_back"))
     )

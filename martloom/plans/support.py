@@ -73,6 +73,8 @@ def contact_rate_by_category(
     channels: Sequence[str] = CHANNELS,
     tie_break: Sequence[str] = ("category_1", "category_2"),
     ordered: bool = True,
+    user_col: str = "user_id",
+    date_col: str = "event_date",
 ) -> DataFrame:
     """Per day in [start, as_of): active households and contacts per 100,000 of them, both
     as means over the trailing 7 days.
@@ -85,13 +87,13 @@ def contact_rate_by_category(
         events.filter(
             (F.col("name") == event_name)
             & (F.col("country") == country)
-            & (F.col("rocket_date") >= first)
-            & (F.col("rocket_date") < F.lit(as_of))
+            & (F.col(date_col) >= first)
+            & (F.col(date_col) < F.lit(as_of))
         )
-        .select("ivi_id", F.col("rocket_date").alias("date_events"))
+        .select(user_col, F.col(date_col).alias("date_events"))
         .distinct()
     )
-    households = lookup_or_self(active, "ivi_id", family, "id", "parent_id", "household")
+    households = lookup_or_self(active, user_col, family, "id", "parent_id", "household")
     users = rolling_distinct(
         households, "date_events", ["household"], WINDOW_DAYS, name="active", start=start, end=as_of
     )
@@ -138,15 +140,26 @@ def month_columns(first: dt.date, count: int) -> dict[str, dt.date]:
 def tickets_monthly_pivot(
     service: DataFrame,
     workflow: DataFrame,
-    first_month: dt.date = dt.date(2020, 1, 1),
-    months: int = 15,
+    first_month: dt.date | None = None,
+    months: int | None = None,
     tie_break: Iterable[str] = ("category_1", "category_2"),
     ordered: bool = True,
 ) -> DataFrame:
-    """Distinct tickets per type and sub-type, one column per month."""
+    """Distinct tickets per type and sub-type, one column per month.
+
+    Months from ``first_month``, ``months`` of them; what is not given comes from the first and
+    last ticket, which are looked up once while the plan is made. Tickets outside of given months
+    keep their row and are in no column.
+    """
     tickets = merged_tickets(service, workflow, list(tie_break), channel=False).withColumn(
         "__month", F.trunc("true_interaction_date", "MM")
     )
+    if first_month is None or months is None:
+        span = tickets.agg(F.min("__month").alias("lo"), F.max("__month").alias("hi")).first()
+        first_month = first_month or span["lo"] or dt.date(1970, 1, 1)
+        if months is None:
+            last = span["hi"] or first_month
+            months = 12 * (last.year - first_month.year) + last.month - first_month.month + 1
     keys = ["service_type", "service_folder_2"]
     wide = pivot_count_distinct(
         tickets, keys, "__month", month_columns(first_month, months), "service_number"

@@ -8,7 +8,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import account_open_events, early_repayment_events
+from ..plans import account_open_events, early_repayment_events, load_account_day
+from ..session import fresh_path
 from ..sources import load
 from .base import LI, ORD, lines, orders, query
 
@@ -212,6 +213,18 @@ def _(spark, sf):
     return account_open_events(account_tables(spark, sf), day=dt.date(1998, 12, 9), groups=GROUPS)
 
 
+@query(
+    "account_feed_load",
+    f"""SELECT * FROM ({ACCOUNT_SQL}) WHERE "OPERATION_START_DTTM" IN (DATE '1998-12-08', DATE '1998-12-09')""",
+)
+def _(spark, sf):
+    """Two daily loads, one of them run twice, and the table read back."""
+    path, tables = fresh_path(spark, "account_feed"), account_tables(spark, sf)
+    for day in (dt.date(1998, 12, 8), dt.date(1998, 12, 9), dt.date(1998, 12, 8)):
+        load_account_day(tables, day, path, as_path=True, groups=GROUPS)
+    return spark.read.parquet(path).drop("load_day")
+
+
 def repayment_tables(spark, sf) -> dict[str, DataFrame]:
     ord_, customer = orders(spark, sf), load(spark, sf, "customer")
     key, day, cust = F.col("o_orderkey"), F.col("odate"), F.col("o_custkey")
@@ -335,4 +348,4 @@ LEFT JOIN oper ON s_suppkey = op WHERE ro.n = 1""",
 )
 def _(spark, sf):
     """Buckets of a year guard customers with very many migrations."""
-    return early_repayment_events(repayment_tables(spark, sf), bucket_days=366)
+    return early_repayment_events(repayment_tables(spark, sf))

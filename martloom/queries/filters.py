@@ -27,6 +27,7 @@ from ..sources import (
     latest_snapshot,
     load,
     month_range,
+    months_slice,
     trailing_days,
     window_to_max,
     write_table,
@@ -157,10 +158,13 @@ def _(spark, sf):
         WHERE (l_returnflag = 'R' AND qty >= 25) OR (l_linestatus = 'O' AND disc > 0.05)""",
 )
 def _(spark, sf):
-    big_return = (F.col("l_returnflag") == "R") & (F.col("qty") >= 25)
-    cheap_open = (F.col("l_linestatus") == "O") & (F.col("disc") > F.lit("0.05").cast("decimal(4,2)"))
-    rows = lines(spark, sf).filter(big_return | cheap_open)
-    return rows.select("l_orderkey", "l_partkey", "l_linenumber", "qty")
+    # on the stored columns, so that the scan gets the condition; casts come after it
+    big_return = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= F.lit(25.0))
+    cheap_open = (F.col("l_linestatus") == "O") & (F.col("l_discount") > F.lit(0.05))
+    rows = load(spark, sf, "lineitem").filter(big_return | cheap_open)
+    return rows.select(
+        "l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("qty")
+    )
 
 
 @query(
@@ -237,8 +241,8 @@ def _(spark, sf):
     """SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 6""",
 )
 def _(spark, sf):
-    month = (F.year("odate") == AS_OF.year) & (F.month("odate") == AS_OF.month)
-    return orders(spark, sf).filter(month).select("o_orderkey")
+    month = (AS_OF.year, AS_OF.month)
+    return months_slice(load(spark, sf, "orders"), "o_orderdate", month, month).select("o_orderkey")
 
 
 @query(
@@ -246,8 +250,8 @@ def _(spark, sf):
     """SELECT o_orderkey FROM orders WHERE strftime(o_orderdate, '%Y-%m') IN ('1998-01', '1998-02', '1998-03')""",
 )
 def _(spark, sf):
-    month = (F.year("odate") == 1998) & F.month("odate").isin(1, 2, 3)
-    return orders(spark, sf).filter(month).select("o_orderkey")
+    quarter = months_slice(load(spark, sf, "orders"), "o_orderdate", (1998, 1), (1998, 3))
+    return quarter.select("o_orderkey")
 
 
 @query(
@@ -418,12 +422,16 @@ def _(spark, sf):
         UNION ALL SELECT * FROM m WHERE y = 1997 AND m IN (9, 10, 11, 12)""",
 )
 def _(spark, sf):
+    # the scan gets the dates; month_range then works on the months, as where only those are stored
+    first, last = (1997, 9), (1998, 2)
+    recent = months_slice(load(spark, sf, "orders"), "o_orderdate", first, last)
     monthly = (
-        orders(spark, sf)
-        .groupBy("o_custkey", F.year("odate").alias("y"), F.month("odate").alias("m"))
-        .agg(F.sum("total").alias("spent"))
+        recent.groupBy(
+            "o_custkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")
+        )
+        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("spent"))
     )
-    return month_range(monthly, "y", "m", (1997, 9), (1998, 2))
+    return month_range(monthly, "y", "m", first, last)
 
 
 @query(

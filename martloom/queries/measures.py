@@ -8,7 +8,7 @@ from ..functions import rate_per, safe_div
 from ..operators.aggregates import ad_profit, aging_value, avg_of_ratio, sum_groups
 from ..operators.dedup import argmax_latest
 from ..operators.pivots import pivot_count_distinct, transpose_sum
-from ..operators.rolling import rolling_distinct, rolling_users
+from ..operators.rolling import daily_distinct, rolling_distinct, rolling_users
 from ..operators.aggregates import approx_distinct
 from ..plans.support import month_columns
 from ..sources import load, window_to_max
@@ -66,13 +66,32 @@ def _(spark, sf):
     )
 
 
-@query("approx_distinct_daily")
+@query(
+    "approx_distinct_daily",
+    f"""WITH {EV}, w AS (SELECT w.day, count(DISTINCT user_id) AS weekly_users FROM (SELECT DISTINCT CAST(d AS DATE) AS day FROM (
+          SELECT unnest(generate_series(min(day), max(day) + 6, INTERVAL 1 DAY)) AS d FROM ev)) w
+        JOIN ev ON ev.day BETWEEN w.day - 6 AND w.day GROUP BY w.day),
+        d AS (SELECT day, count(DISTINCT user_id) AS users FROM ev GROUP BY day)
+        SELECT w.day, weekly_users, coalesce(users, 0) AS users, TRUE AS weekly_close, TRUE AS daily_close
+        FROM w LEFT JOIN d ON d.day = w.day""",
+)
 def _(spark, sf):
-    """Approximate daily users and approximate users of the trailing 7 days."""
+    """Users per day and per trailing 7 days, and whether the sketches come within 2 per cent."""
     ev = events(spark, sf)
-    daily = approx_distinct(ev, ["day"], "user_id", "users")
-    weekly = rolling_users(ev, "day", "user_id", 7, method="hll", name="weekly_users")
-    return weekly.join(daily, "day", "left")
+    daily = approx_distinct(ev, ["day"], "user_id", "guess", rsd=0.005)
+    weekly = rolling_users(ev, "day", "user_id", 7, method="hll", name="weekly_guess", lg_k=16)
+    users = daily_distinct(ev, "day", ["user_id"], "users")
+    exact = rolling_users(ev, "day", "user_id", 7, name="weekly_users")
+    both = exact.join(weekly, "day", "left").join(users, "day", "left").join(daily, "day", "left")
+
+    def close(guess, count):
+        return F.abs(F.col(guess) - F.col(count)) <= 0.02 * F.col(count)
+
+    return both.select(
+        "day", "weekly_users", F.coalesce("users", F.lit(0)).alias("users"),
+        F.coalesce(close("weekly_guess", "weekly_users"), F.lit(False)).alias("weekly_close"),
+        (F.col("users").isNull() | close("guess", "users")).alias("daily_close"),
+    )
 
 
 @query(
@@ -102,12 +121,10 @@ def _(spark, sf):
           count(DISTINCT user_id) FILTER (event_type = 'purchase') AS buyers FROM ev GROUP BY day""",
 )
 def _(spark, sf):
-    def users(kind):
-        return F.count_distinct(F.when(F.col("event_type") == kind, F.col("user_id")))
-
-    return events(spark, sf).groupBy("day").agg(
-        users("click").alias("clickers"), users("purchase").alias("buyers")
-    )
+    # one row per (day, user) with a mark per type: no copy of the rows per type
+    kinds = {"clickers": "click", "buyers": "purchase"}
+    daily = daily_distinct(events(spark, sf), "day", ["user_id"], "users", kinds, "event_type")
+    return daily.select("day", *kinds)
 
 
 @query(

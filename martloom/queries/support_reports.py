@@ -56,8 +56,8 @@ def _(spark, sf):
     impressions = ev.select(
         F.when(F.col("event_type") == "error", "error").otherwise("impression").alias("name"),
         F.lit("Russia").alias("country"),
-        F.col("day").alias("rocket_date"),
-        F.col("user_id").alias("ivi_id"),
+        F.col("day").alias("event_date"),
+        "user_id",
     )
     family = load(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
     family = family.select(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,20 +40,9 @@ def local_session(app: str = "martloom", cpus: int | str = "*", memory: str = "8
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="martloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the warehouse where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

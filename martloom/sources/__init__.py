@@ -5,6 +5,7 @@ from .tables import (
     latest_snapshot,
     load,
     month_range,
+    months_slice,
     read_remote,
     trailing_days,
     window_to_max,
@@ -16,6 +17,7 @@ __all__ = [
     "latest_snapshot",
     "load",
     "month_range",
+    "months_slice",
     "read_remote",
     "trailing_days",
     "window_to_max",

@@ -75,6 +75,19 @@ def event_day(df: DataFrame, date_col: str, day: dt.date) -> DataFrame:
     return trailing_days(df, date_col, day, 1, 0)
 
 
+def months_slice(
+    df: DataFrame, date_col: str, first: tuple[int, int], last: tuple[int, int]
+) -> DataFrame:
+    """Rows dated from month ``first`` to month ``last`` (year, month), both included.
+
+    Half-open bounds on the stored column, which a scan can use; ``year()`` and ``month()`` of it
+    would read everything.
+    """
+    after = divmod(last[0] * 12 + last[1], 12)
+    start, end = dt.date(*first, 1), dt.date(after[0], after[1] + 1, 1)
+    return df.filter((F.col(date_col) >= F.lit(start)) & (F.col(date_col) < F.lit(end)))
+
+
 def month_range(
     df: DataFrame, year_col: str, month_col: str, start: tuple[int, int], end: tuple[int, int]
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import concat0, mask_phone, safe_div
 from martloom.operators.aggregates import approx_distinct, partition_total
-from martloom.operators.calendar import calendar_spine
+from martloom.operators.calendar import calendar_spine, date_spine
 from martloom.operators.dedup import argmax_latest, latest_per_key, row_sequence
 from martloom.operators.intervals import (
     anti_within_days,
@@ -203,6 +203,33 @@ def test_transpose_is_exact_and_null_without_rows(frame):
     assert big.zz == Decimal("9999999999999999.99")
 
 
+def test_transpose_of_wide_decimals(spark, frame):
+    """Types without room for units stay decimal; the schema is the same with and without ANSI."""
+    wide = frame("k int, t string, a decimal(38,18)", (1, "x", Decimal("123456789012.000000000000000001")), (1, "x", Decimal(10)))
+    assert transpose_sum(wide, ["k"], "t", "a", ["x"]).first().x == Decimal("123456789022.000000000000000001")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    for kind in ("decimal(18,2)", "decimal(38,18)", "decimal(12,8)"):
+        df = frame(f"k int, t string, a {kind}", (1, "x", Decimal("0.25")), (1, "x", None))
+        seen = set()
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            out = transpose_sum(df, ["k"], "t", "a", ["x"])
+            seen.add(out.schema.simpleString())
+            assert out.first().x == Decimal("0.25")
+        spark.conf.set("spark.sql.ansi.enabled", before)
+        assert len(seen) == 1
+
+
+def test_a_stray_date_does_not_stretch_the_spine(frame):
+    df = frame("d date, u int", (dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2), (dt.date(5555, 1, 1), 3))
+    span = {"start": dt.date(2024, 1, 2), "end": dt.date(2024, 1, 5)}
+    users = rolling_users(df, "d", "u", 2, **span)
+    assert rows(users) == [(dt.date(2024, 1, 2), 2), (dt.date(2024, 1, 3), 1)]
+    pairs = rolling_distinct(df, "d", ["u"], 2, method="spine", **span)
+    assert rows(pairs) == [(dt.date(2024, 1, 2), 2), (dt.date(2024, 1, 3), 1)]
+    assert "5555" not in str(date_spine(df.filter("d < '2025-01-01'"), "d").collect())
+
+
 def test_partition_total_groups_nulls(frame):
     df = frame("k string, v int", ("a", 1), ("a", 2), (None, 5), (None, 6))
     got = rows(partition_total(df, ["k"], "v", "s"))

@@ -6,7 +6,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from martloom.operators.aggregates import partition_total
 from martloom.operators.calendar import calendar_spine
 from martloom.operators.dedup import latest_per_key
@@ -14,10 +13,11 @@ from martloom.operators.intervals import anti_within_days, valid_at_join, within
 from martloom.operators.joins import DimJoin, enrich, exists_in
 from martloom.operators.pivots import transpose_sum
 from martloom.plans import cost_gap_fill
+from martloom.queries import QUERIES
 from martloom.sources import event_day, latest_snapshot, load, trailing_days, window_to_max
 
 # One row per calendar day: an unpartitioned window over these stays tiny.
-DAILY_WINDOWS = {"rolling_spine", "rolling_users_exact"}
+DAILY_WINDOWS = {"approx_distinct_daily", "rolling_spine", "rolling_users_exact"}
 
 
 @pytest.fixture(scope="module")
@@ -37,9 +37,9 @@ def formatted(df):
     return df._jdf.queryExecution().explainString(mode)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(no_broadcast, sf_dir, name):
-    text = plan(contract.queries()[name](no_broadcast, sf_dir))
+    text = plan(QUERIES[name](no_broadcast, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Broadcast", "Python", "ExistingRDD"):
         assert bad not in text, bad
     unpartitioned = re.search(r"windowspecdefinition\(\S+ (ASC|DESC)", text) is not None
@@ -63,8 +63,27 @@ def test_slices_reach_the_scan(spark, sf_dir):
     assert "GreaterThanOrEqual(l_shipdate,ScalarSubquery" in formatted(newest)
 
 
+@pytest.mark.parametrize(
+    "name, column",
+    [
+        ("current_month_filter", "o_orderdate"),
+        ("calendar_member_filter", "o_orderdate"),
+        ("union_periods", "o_orderdate"),
+        ("comparison_filter", "l_quantity"),
+    ],
+)
+def test_bounds_are_pushed(spark, sf_dir, name, column):
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan(QUERIES[name](spark, sf_dir)))[1]
+    assert re.search(rf"(GreaterThan|LessThan)\w*\({column},", pushed)
+
+
+def test_one_bound_per_market(spark, sf_dir):
+    text = formatted(QUERIES["restock_signal"](spark, sf_dir))
+    assert len(re.findall(r"Subquery:\d+ Hosting", text)) > 0
+
+
 def test_columns_are_pruned(spark, sf_dir):
-    text = formatted(contract.queries()["distinct_rows"](spark, sf_dir))
+    text = formatted(QUERIES["distinct_rows"](spark, sf_dir))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in text
 
 

@@ -4,8 +4,7 @@ import pytest
 from oracle import connect, difference
 
 import __spark_entry__ as contract
-
-ROWS_ONLY = {"approx_distinct_daily"}
+from martloom.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,17 +12,15 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, con, name):
-    df = contract.queries()[name](spark, sf_dir)
-    if name in ROWS_ONLY:
-        assert df.count() > 0
-        return
-    assert difference(df, con, contract.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
 
 
-def test_every_query_has_sql_unless_approximate():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

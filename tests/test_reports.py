@@ -16,6 +16,7 @@ from martloom.plans import (
     early_repayment_events,
     fee_changes,
     inventory_aging_value,
+    load_account_day,
     merged_tickets,
     monthly_pnl,
     newly_profitable,
@@ -133,6 +134,54 @@ def test_monthly_pnl(pnl):
     assert all(got[None, m][c] == 0 for m in range(1, 13) for c in REPORT_MEASURES)
 
 
+# The fee columns of the settlement tables.
+ORDER_FEES_WANTED = """
+Commission FBAPerOrderFulfillmentFee FBAPerUnitFulfillmentFee FBAWeightBasedFee GiftWrap
+GiftWrapTax GiftwrapChargeback LowValueGoods_Principal LowValueGoods_Shipping
+LowValueGoodsTax_Other LowValueGoodsTax_Principal LowValueGoodsTax_Shipping
+MarketplaceFacilitatorTax_Other MarketplaceFacilitatorTax_Principal
+MarketplaceFacilitatorTax_Shipping MarketplaceFacilitatorVAT_Principal
+MarketplaceFacilitatorVAT_Shipping Principal Promotion_Principal Promotion_Shipping
+SalesTaxServiceFee Shipping ShippingChargeback ShippingHB ShippingTax Tax VariableClosingFee
+""".split()
+REFUND_FEES_WANTED = """
+RefundTax RefundPrincipal RefundMarketplaceFacilitatorTax_Principal RefundCommission
+RefundRefundCommission RefundShippingTax RefundShipping
+RefundMarketplaceFacilitatorTax_Shipping RefundShippingChargeback RefundGoodwill
+RefundVariableClosingFee RefundPromotion_Shipping RefundPromotion_Principal RefundRestockingFee
+RefundMarketplaceFacilitatorTax_RestockingFee RefundMarketplaceFacilitatorTax_Other
+RefundMarketplaceFacilitatorVAT_Shipping RefundMarketplaceFacilitatorVAT_Principal
+RefundGiftWrap RefundGiftwrapChargeback RefundGiftWrapTax RefundShippingHB
+RefundLowValueGoodsTax_Shipping RefundLowValueGoodsTax_Principal
+""".split()
+REFUND_TAXES_WANTED = """
+RefundShippingTax RefundGiftWrapTax RefundLowValueGoodsTax_Principal
+RefundMarketplaceFacilitatorTax_Other RefundTax RefundMarketplaceFacilitatorTax_Principal
+RefundMarketplaceFacilitatorTax_RestockingFee RefundLowValueGoodsTax_Shipping
+RefundMarketplaceFacilitatorTax_Shipping
+""".split()
+
+
+def test_fee_lists_are_these():
+    assert list(ORDER_FEES) == list(ORDER_FEES_WANTED)
+    assert list(REFUND_FEES) == list(REFUND_FEES_WANTED)
+    assert list(REFUND_TAXES) == list(REFUND_TAXES_WANTED)
+
+
+def test_calendar_covers_every_year_of_the_inputs(frame, pnl):
+    late = frame("sku string, year_pdt int, month int, q_repackaged long", ("s1", 2031, 2, 4))
+    report = monthly_pnl(**{**pnl, "returns_repackaged": pnl["returns_repackaged"].union(late)})
+    found = {(r.asin, r.year_, r.month_): r.q_repackaged for r in report.filter("q_repackaged > 0").collect()}
+    assert found == {("A", 2023, 5): 5, ("A", 2031, 2): 4}
+    assert {r.year_ for r in report.select("year_").distinct().collect()} == set(range(2023, 2032))
+
+
+def test_second_row_of_an_aggregated_input_is_reported(pnl):
+    twice = {**pnl, "reim_inventory": pnl["reim_inventory"].union(pnl["reim_inventory"])}
+    with pytest.raises(Exception, match="duplicate article and month in reim_inventory"):
+        monthly_pnl(**twice, years=[2023]).collect()
+
+
 def test_fee_lists_are_complete():
     assert (len(ORDER_FEES), len(REFUND_FEES), len(REFUND_TAXES)) == (27, 24, 9)
     assert len(set(ORDER_FEES)) == 27 and set(REFUND_TAXES) < set(REFUND_FEES)
@@ -354,6 +403,7 @@ def test_restock_signal(frame):
     assert us["plain"].days_of_supply_signal is None and us["7-null"].active_inventory is None
     seven = restock_signal({"US": orders}, {"US": stock}, brands, inclusive_start=False)
     assert "7-x" not in {r.sku for r in seven.collect()}
+    assert {r.window_start_date for r in seven.collect()} == {D(2024, 5, 14)}
     ca = restock_signal({"CA": orders}, {"CA": stock}, brands).collect()
     assert {r.sku: r.shipped_quantity_sum for r in ca}["7-x"] == 53
     assert all(r.window_start_date is None for r in ca)
@@ -437,7 +487,7 @@ def test_merged_tickets(tickets):
 
 def test_contact_rate(frame, tickets):
     events = frame(
-        "name string, country string, rocket_date date, ivi_id long",
+        "name string, country string, event_date date, user_id long",
         ("view", "Russia", D(2020, 1, 1), 1), ("view", "Russia", D(2020, 1, 1), 1),
         ("view", "Russia", D(2020, 1, 1), 2),  # child of 1
         ("view", "Russia", D(2020, 1, 3), 3), ("view", "Other", D(2020, 1, 3), 9),
@@ -459,7 +509,7 @@ def test_contact_rate(frame, tickets):
 
 
 def test_tickets_pivot(tickets):
-    wide = tickets_monthly_pivot(*tickets).collect()
+    wide = tickets_monthly_pivot(*tickets, first_month=D(2020, 1, 1), months=15).collect()
     assert [c for c in wide[0].asDict()][2:5] == ["jan_2020", "feb_2020", "mar_2020"]
     assert len(wide[0]) == 17
     got = {(r.service_type, r.service_folder_2): (r.jan_2020, r.feb_2020) for r in wide}
@@ -469,6 +519,14 @@ def test_tickets_pivot(tickets):
     }
 
 
+def test_pivot_months_come_from_the_tickets(frame, tickets):
+    service, workflow = tickets
+    late = service.limit(1).withColumn("interaction_date", F.lit(T(2031, 3, 5, 12)))
+    wide = tickets_monthly_pivot(service.union(late.select(*service.columns)), workflow)
+    months = wide.columns[2:]
+    assert months[0] == "jan_2020" and months[-1] == "mar_2031" and len(months) == 135
+
+
 # ── banking ──────────────────────────────────────────────────────────────────────────────
 
 DAY = D(2018, 10, 5)
@@ -574,6 +632,25 @@ def test_account_open_events(bank):
     assert rows(days) == rows(report)  # the only day with both a deal and its account
 
 
+def test_first_day_holds_for_single_days_too(bank):
+    before = dt.timedelta(days=1)
+    assert account_open_events(bank, day=DAY, first_day=DAY + before).count() > 0  # still open
+    closed = bank["deals"].withColumn("deal_closed_date", F.lit(DAY))
+    shut = {**bank, "deals": closed}
+    assert account_open_events(shut, day=DAY, first_day=DAY + before).count() == 0
+    assert account_open_events(shut, day=DAY, first_day=DAY).count() > 0
+
+
+def test_a_day_is_loaded_alone(spark, bank, tmp_path):
+    path = str(tmp_path / "feed")
+    for _ in range(2):
+        load_account_day(bank, DAY, path, as_path=True)
+    once = account_open_events(bank, day=DAY).count()
+    assert spark.read.parquet(path).count() == once
+    load_account_day(bank, DAY + dt.timedelta(days=1), path, as_path=True)
+    assert spark.read.parquet(path).filter(F.col("load_day") == DAY).count() == once
+
+
 def test_early_repayment_events(frame, bank):
     t = bank | {
         "repayments": frame(
