@@ -30,27 +30,30 @@ def _field(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
 
 
-def make_records(
+def _payloads(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """(id, url, payload, sha256, sha1, bytes) per page."""
+    payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
+    url = F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"[\r\n]", "")
+    return pages.select(
+        F.col(id_col).alias("id"), url.alias("url"), payload.alias("payload"),
+        F.sha2(payload, 256).alias("sha256"), F.sha1(payload).alias("sha1"),
+        F.octet_length(payload).cast("long").alias("bytes"),
+    )
+
+
+def make_headers(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """(id, header, sha256, sha1, bytes, kind, refers_to, payload) per page.
+    """(id, header, sha256, kind, refers_to) per page; payloads are hashed in place, not moved.
 
     Of equal payloads of at least ``MIN_SHARED`` bytes the one with the largest id is the
     response and the others revisit it; smaller payloads are all responses. Rows with a null id
     are responses and are never revisited; of rows that repeat the response's id each is a response.
     A null payload is empty. A null url is an empty target.
     """
-    text = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    payload = text.cast("binary")
-    url = F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"[\r\n]", "")
-    rows = pages.select(
-        F.col(id_col).alias("id"), url.alias("url"), payload.alias("payload"),
-        F.sha2(payload, 256).alias("sha256"), F.sha1(payload).alias("sha1"),
-        F.octet_length(payload).cast("long").alias("bytes"),
-    )
-    # only digests and ids are shuffled to find the response of each payload
-    narrow = rows.where((F.col("bytes") >= MIN_SHARED) & F.col("id").isNotNull())
-    best = narrow.groupBy("sha256").agg(F.max("id").alias("best"), F.count("*").alias("n"))
+    rows = _payloads(pages, id_col, url_col, html_col).drop("payload")
+    shared = rows.where((F.col("bytes") >= MIN_SHARED) & F.col("id").isNotNull())
+    best = shared.groupBy("sha256").agg(F.max("id").alias("best"), F.count("*").alias("n"))
     best = best.where("n > 1").select("sha256", "best")
     rows = rows.join(best, "sha256", "left")
     revisit = F.col("best").isNotNull() & F.col("id").isNotNull() & (F.col("id") != F.col("best"))
@@ -76,28 +79,29 @@ def make_records(
         _field("Content-Length", length),
         F.lit(CRLF),
     )
-    return rows.select(
-        "id", header.cast("binary").alias("header"), "sha256", "sha1", "bytes", "kind", "refers_to", "payload"
-    )
+    return rows.select("id", header.cast("binary").alias("header"), "sha256", "kind", "refers_to")
 
 
-def write_archive(records: DataFrame, path: str) -> None:
-    """Write ``records`` below ``path``: payloads once each, headers with the digest of their block.
+def write_archive(
+    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+) -> None:
+    """Write the pages below ``path``: payloads once each, headers with the digest of their block.
 
-    Each payload is stored with its length and SHA-1 beside the SHA-256 that names it. Two
-    different payloads under one digest would show as two lengths or SHA-1 sums; that raises.
+    Two different payloads under one SHA-256 would show as two lengths or two SHA-1 sums; that raises.
     """
-    stored = records.where("kind = 'response'").groupBy("sha256").agg(
+    stored = _payloads(pages, id_col, url_col, html_col).groupBy("sha256").agg(
         F.any_value("payload").alias("payload"),
-        F.min(F.struct("bytes", "sha1")).alias("low"),
-        F.max(F.struct("bytes", "sha1")).alias("high"),
-    )
-    verified = F.when(F.col("low") == F.col("high"), F.col("sha256")).otherwise(
+        F.min("bytes").alias("b0"), F.max("bytes").alias("b1"),
+        F.min("sha1").alias("s0"), F.max("sha1").alias("s1"),
+    )
+    one = (F.col("b0") == F.col("b1")) & (F.col("s0") == F.col("s1"))
+    verified = F.when(one, F.col("sha256")).otherwise(
         F.raise_error(F.lit("different payloads have the same digest"))
     )
     stored.select(verified.alias("sha256"), "payload").write.parquet(f"{path}/payloads")
+    headers = make_headers(pages, id_col, url_col, html_col)
     block = F.when(F.col("kind") == "response", F.col("sha256"))
-    records.select("header", block.alias("sha256")).write.parquet(f"{path}/records")
+    headers.select("header", block.alias("sha256")).write.parquet(f"{path}/records")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -204,8 +208,7 @@ def warc_round_trip(
     (id, payload_bytes, payload_digest, record_type, refers_to); length and digest of a revisit
     are those of the full payload.
     """
-    records = make_records(pages, id_col, url_col, html_col)
-    write_archive(records, path)
+    write_archive(pages, path, id_col, url_col, html_col)
     kind = pages.schema[id_col].dataType
     back = parse_archive(read_archive(pages.sparkSession, path), with_block=False)
     return back.select(
