@@ -19,12 +19,14 @@ def line_places(
     docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words: int
 ) -> DataFrame:
     """(a, b, id, h, at, site) per line of ``min_words`` words or more: 128-bit key, row, place."""
-    lines = docs.where(F.col(id_col).isNotNull()).select(
+    # the hash of a text is taken once, before its lines become rows
+    rows = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"),
         F.xxhash64(F.col(text_col)).alias("h"),
         F.col(site_col).cast("string").alias("site"),
-        F.posexplode(_split(F.col(text_col))).alias("at", "raw"),
+        _split(F.col(text_col)).alias("lines"),
     )
+    lines = rows.select("id", "h", "site", F.posexplode("lines").alias("at", "raw"))
     lines = lines.select("id", "h", "site", "at", F.btrim("raw", F.lit(BLANK)).alias("line"))
     lines = lines.where(F.size(F.split("line", r"[\x20\x09-\x0D]+")) >= min_words)
     return lines.where("line <> ''").select(
