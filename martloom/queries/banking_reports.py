@@ -222,7 +222,9 @@ def _(spark, sf):
     path, tables = fresh_path(spark, "account_feed"), account_tables(spark, sf)
     for day in (dt.date(1998, 12, 8), dt.date(1998, 12, 9), dt.date(1998, 12, 8)):
         load_account_day(tables, day, path, as_path=True, groups=GROUPS)
-    return spark.read.parquet(path).drop("load_day")
+    # the schema is given, as days without events leave the folder without files
+    schema = account_open_events(tables, day=day, groups=GROUPS).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def repayment_tables(spark, sf) -> dict[str, DataFrame]:
