@@ -1,13 +1,18 @@
 """Exact removal of repeated byte strings, by refining buckets of q-grams at sampled suffixes.
 
 Suffixes are sampled so that equal strings of ``length`` bytes sample the same places: the smallest
-32-gram hash of each window of ``length`` bytes, leftmost first, is its anchor. The
-anchors' 32-grams are the initial buckets. Buckets with one member are settled and leave; the
-others are refined with the bucket identifiers of later (and earlier) offsets, to 64-grams, and at
-last to whole windows. Identifiers of 2k-grams are made from those of k-grams, so each
-refinement reuses the last. Neighbouring windows with one anchor are handled as one unit as long as
-that is enough: most of a long repeat is settled by units, and only windows at its ends, whose
-64-grams repeat in different units, become rows of their own.
+32-gram identifier in each window of ``length`` bytes, leftmost first, is its anchor. Neighbouring windows
+with one anchor form a unit. The anchors' 32-grams are the initial buckets; each pass over the texts
+refines the buckets that still have several members with the identifiers of longer strings
+around the anchor, made from those of shorter ones:
+
+1. 32-grams: a unit alone in its bucket is settled, none of its windows repeats;
+2. whole units: a unit that equals an earlier one is settled, all of its windows repeat;
+3. the common part of eight offset classes of each first unit: a class alone in its bucket is settled;
+4. single windows of the classes that are left.
+
+What a pass has settled goes to the next one as a bit map of bounded size. A map may let a few more
+pass than it should; these are refined further for nothing and come out right.
 """
 
 from __future__ import annotations
@@ -18,14 +23,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.common import Scratch
 
 Q = 32  # bytes of an initial bucket
-BLOCK = 1 << 18  # window starts looked at together
-FLUSH = 200_000  # windows that a task holds at a time
+CLASSES = 8  # of offsets of the anchor in a window
+BLOCK = 1 << 16  # window starts looked at together
+FLUSH = 200_000  # windows and spans that a task holds at a time
 NO_ID = (1 << 63) - 1  # stands for a null id: after all others
 
 
@@ -35,19 +41,18 @@ def _table() -> np.ndarray:
     return np.array(digests, dtype=np.uint64)
 
 
-def _grams(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Identifiers of all 32-grams and, from two of them each, of all 64-grams."""
+def _grams(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Identifiers of all 32-grams: those of 2k-grams are made from two of k-grams."""
     with np.errstate(over="ignore"):
         ids, k, factor = table[data], 1, np.uint64(0x9E3779B97F4A7C15)
         while k < Q:
             ids = ids[:-k] * factor + ids[k:]
             factor = factor * factor
             k *= 2
-        mixed = ids ^ (ids >> np.uint64(31))
-        mixed *= np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        pairs = mixed[:-Q] * np.uint64(0xC2B2AE3D27D4EB4F) + mixed[Q:] if len(mixed) > Q else mixed[:0]
-        return mixed, pairs ^ (pairs >> np.uint64(29))
+        ids ^= ids >> np.uint64(31)
+        ids *= np.uint64(0xD6E8FEB86659FD93)
+        ids ^= ids >> np.uint64(32)
+        return ids
 
 
 def _window_min(keys: np.ndarray, width: int) -> np.ndarray:
@@ -63,54 +68,47 @@ class Runs:
     """Units of a buffer: consecutive windows (starts lo..hi) whose anchor is at ``p``."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, length: int, table: np.ndarray):
-        self.length = length
-        parts: dict[str, list] = {k: [] for k in ("p", "lo", "hi", "gram", "left", "right")}
+        parts: dict[str, list] = {k: [] for k in ("p", "lo", "hi", "gram")}
         begin, end = int(bounds[0]), int(bounds[-1])
-        width = length - Q + 1
-        place = np.uint64(20)
+        width, place = length - Q + 1, np.uint64(20)
         for s0 in range(begin, end - length + 1, BLOCK):
             s1 = min(s0 + BLOCK, end - length + 1)
-            grams, pairs = _grams(data[s0 : s1 + length - 1], table)
+            grams = _grams(data[s0 : s1 + length - 1], table)
             keys = (grams >> place << place) | np.arange(len(grams), dtype=np.uint64)
             anchor = (_window_min(keys, width) & np.uint64((1 << 20) - 1)).astype(np.int64)
             # a window must end in the text in which it starts
-            text = np.searchsorted(bounds, np.arange(s0, s1), side="right") - 1
-            inside = np.arange(s0, s1) + length <= bounds[text + 1]
+            inside = np.ones(len(anchor), dtype=bool)
+            first = int(np.searchsorted(bounds, s0, side="right"))
+            last = int(np.searchsorted(bounds, s1 + length, side="left"))
+            for e in bounds[first : last + 1].tolist():
+                inside[max(0, e - length + 1 - s0) : max(0, e - s0)] = False
             new = np.ones(len(anchor), dtype=bool)
-            new[1:] = (np.diff(anchor) != 0) | (np.diff(text) != 0) | (inside[1:] != inside[:-1])
+            new[1:] = (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1])
             at = np.nonzero(new)[0]
-            last = np.append(at[1:], len(anchor)) - 1
+            stop = np.append(at[1:], len(anchor)) - 1
             keep = inside[at]
-            at, last = at[keep], last[keep]
+            at, stop = at[keep], stop[keep]
             p = anchor[at]
             parts["p"].append(p + s0)
             parts["lo"].append(at + s0)
-            parts["hi"].append(last + s0)
+            parts["hi"].append(stop + s0)
             parts["gram"].append(grams[p])
-            # halves of the windows that reach 32 bytes before, or 64 bytes from, the anchor
-            has_left, has_right = p - at >= Q + 2, p - last < Q + 2
-            side = np.zeros(len(p), dtype=np.uint64)
-            side[has_left] = pairs[p[has_left] - Q] | np.uint64(1)
-            parts["left"].append(side)
-            side = np.zeros(len(p), dtype=np.uint64)
-            side[has_right] = pairs[p[has_right]] | np.uint64(1)
-            parts["right"].append(side)
         for name, found in parts.items():
-            kind = np.uint64 if name in ("gram", "left", "right") else np.int64
+            kind = np.uint64 if name == "gram" else np.int64
             setattr(self, name, np.concatenate(found) if found else np.zeros(0, dtype=kind))
         self.text = np.searchsorted(bounds, self.lo, side="right") - 1
 
 
 def _batches(batches: Iterator[pa.RecordBatch], length: int):
-    """(batch, bytes, bounds, runs) of each batch of (id, h, text)."""
+    """(batch, bytes, starts of the texts, units) of each batch of (id, h, text)."""
     table = _table()
     for b in batches:
         texts = b.column("text").cast(pa.large_binary())
         bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset :][: len(texts) + 1]
         raw = texts.buffers()[2]
-        data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
-        if len(texts):
-            yield b, data, bounds, Runs(data, bounds, length, table)
+        if len(texts) and raw is not None and raw.size:
+            data = np.frombuffer(raw, dtype=np.uint8)
+            yield b, memoryview(raw), bounds[:-1], Runs(data, bounds, length, table)
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -149,115 +147,156 @@ def mark(hashes: DataFrame, most_bits: int) -> tuple[int, np.ndarray]:
     return bits, out
 
 
+def _place_hash(id_hash: int, at: int) -> int:
+    """Spark's xxhash64(id, at), given that of the id."""
+    return xxhash.xxh64_intdigest(at.to_bytes(8, "little"), id_hash)
+
+
+def _id_hashes(ids: pa.Array) -> list[int]:
+    return [xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), 42) for i in ids.to_pylist()]
+
+
+def _merged(spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(text, start, stop) spans in order of place, joined where they touch."""
+    text = start = stop = -1
+    for t, a, z in spans:
+        if t == text and a <= stop:
+            stop = max(stop, z)
+            continue
+        if text >= 0:
+            yield text, start, stop
+        text, start, stop = t, a, z
+    if text >= 0:
+        yield text, start, stop
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch, length: int, most_bits: int) -> DataFrame:
     """(id, h, start, stop) byte spans covered by windows that also start earlier.
 
     ``docs`` has (id long, h, text): h is a hash of the text, so that repeated ids do not mix.
     """
-    spark: SparkSession = docs.sparkSession
-    long_enough = docs.where(F.octet_length("text") >= length)
+    sc = docs.sparkSession.sparkContext
+    texts = docs.where(F.octet_length("text") >= length)
+    wide = (length - 1 - Q) // CLASSES + 1  # offsets of the anchor in a class
+    core = length - wide + 1  # bytes that all windows of a class share
 
-    def first_pass(batches):
+    def gram_pass(batches):
         for _, _, _, runs in _batches(batches, length):
             grams, n = np.unique(runs.gram, return_counts=True)
             yield pa.RecordBatch.from_arrays([_signed(grams), pa.array(n)], ["h", "n"])
 
-    grams = long_enough.mapInArrow(first_pass, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    repeated = scratch.write(grams.where("n > 1").select("h"))
-    shared = spark.sparkContext.broadcast(mark(repeated, most_bits))
+    grams = texts.mapInArrow(gram_pass, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    repeated = sc.broadcast(mark(scratch.write(grams.where("n > 1").select("h")), most_bits))
 
     def unit_pass(batches):
-        digest = xxhash.xxh3_128_intdigest
-        for b, data, _, runs in _batches(batches, length):
-            at = np.nonzero(Marks(*shared.value).test(runs.gram))[0]
-            raw = data.tobytes()
-            lead = (runs.p - runs.lo)[at].tolist()
-            spans = zip(runs.lo[at].tolist(), (runs.hi[at] + length).tolist(), lead)
+        digest, low = xxhash.xxh3_128_intdigest, (1 << 64) - 1
+        for b, raw, starts, runs in _batches(batches, length):
+            at = np.nonzero(Marks(*repeated.value).test(runs.gram))[0]
+            lo, lead = runs.lo[at], (runs.p - runs.lo)[at].tolist()
+            spans = zip(lo.tolist(), (runs.hi[at] + length).tolist(), lead)
             whole = [digest(raw[s:e], k) for s, e, k in spans]
-            mask = (1 << 64) - 1
             text = runs.text[at]
-            base = _starts(b)[text]
             yield pa.RecordBatch.from_arrays(
                 [
                     _signed(np.array([u >> 64 for u in whole], dtype=np.uint64)),
-                    _signed(np.array([u & mask for u in whole], dtype=np.uint64)),
-                    _signed(runs.left[at]), _signed(runs.right[at]),
-                    b.column("id").take(pa.array(text)), b.column("h").take(pa.array(text)),
-                    pa.array(runs.lo[at] - base), pa.array(runs.hi[at] - base),
+                    _signed(np.array([u & low for u in whole], dtype=np.uint64)),
+                    b.column("id").take(pa.array(text)), pa.array(lo - starts[text]),
                 ],
-                ["u1", "u2", "left", "right", "id", "h", "lo", "hi"],
+                ["u1", "u2", "id", "lo"],
             )
 
-    kinds = "u1 long, u2 long, left long, right long, id long, h long, lo long, hi long"
-    units = scratch.write(long_enough.mapInArrow(unit_pass, kinds))
-    firsts = scratch.write(
-        units.groupBy("u1", "u2").agg(
-            F.min(F.struct("id", "lo", "h")).alias("f"),
-            F.first("left").alias("left"), F.first("right").alias("right"), F.count("*").alias("n"),
-        )
-    )
-    again = units.join(firsts.where("n > 1").select("u1", "u2", "f"), ["u1", "u2"])
-    again = again.where(F.struct("id", "lo") > F.struct("f.id", "f.lo"))
-    whole_units = again.select("id", "h", F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
-
-    # 64-gram buckets with more than one different unit are refined to windows
-    halves = firsts.select(
-        "f", F.inline(F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("half")) for i, c in enumerate(("left", "right"))]))
-    ).where("half <> 0")
-    crowded = halves.groupBy("side", "half").agg(F.count("*").alias("n")).where("n > 1")
-    open_sides = halves.join(crowded, ["side", "half"]).select(
-        F.xxhash64(F.col("f.id"), F.col("f.lo"), F.col("side").cast("long")).alias("h")
-    )
-    open_marks = spark.sparkContext.broadcast(mark(scratch.write(open_sides.distinct()), most_bits))
-
-    def rows(b, w, s_of, t_of):
-        mask, text = (1 << 64) - 1, pa.array(t_of, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [
-                _signed(np.array([x >> 64 for x in w], dtype=np.uint64)),
-                _signed(np.array([x & mask for x in w], dtype=np.uint64)),
-                b.column("id").take(text), b.column("h").take(text), pa.array(s_of, pa.int64()),
-            ],
-            ["w1", "w2", "id", "h", "start"],
-        )
+    units = texts.mapInArrow(unit_pass, "u1 long, u2 long, id long, lo long")
+    firsts = units.groupBy("u1", "u2").agg(F.min(F.struct("id", "lo")).alias("f"))
+    firsts = firsts.select(F.xxhash64("f.id", "f.lo").alias("h"))
+    first_units = sc.broadcast(mark(scratch.write(firsts), most_bits))
+
+    def left_over(runs, starts, ids):
+        """(unit, is it first) of the units in crowded 32-gram buckets."""
+        first, hashes = Marks(*first_units.value), _id_hashes(ids)
+        for i in np.nonzero(Marks(*repeated.value).test(runs.gram))[0].tolist():
+            t = int(runs.text[i])
+            yield i, t, _place_hash(hashes[t], int(runs.lo[i] - starts[t])) in first
+
+    def cores(raw, p, lo, hi):
+        """(identifier, first and last window start) of a unit's offset classes."""
+        for k in range((p - hi) // wide, (p - lo) // wide + 1):
+            s = p - wide * k
+            yield xxhash.xxh3_64_intdigest(raw[s : s + core], k), max(lo, s - wide + 1), min(hi, s)
+
+    def class_pass(batches):
+        for b, raw, starts, runs in _batches(batches, length):
+            found = []
+            for i, _, first in left_over(runs, starts, b.column("id")):
+                if first:
+                    found.extend(c for c, _, _ in cores(raw, int(runs.p[i]), int(runs.lo[i]), int(runs.hi[i])))
+            keys, n = np.unique(np.array(found, dtype=np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(n)], ["h", "n"])
+
+    classes = texts.mapInArrow(class_pass, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    crowded = sc.broadcast(mark(scratch.write(classes.where("n > 1").select("h")), most_bits))
 
     def window_pass(batches):
-        digest, small = xxhash.xxh3_128_intdigest, xxhash.xxh64_intdigest
-        for b, data, _, runs in _batches(batches, length):
-            grams, opened = Marks(*shared.value), Marks(*open_marks.value)
-            raw, starts = data.tobytes(), _starts(b)
-            ids = b.column("id").to_pylist()
-            seeds = [small(i.to_bytes(8, "little", signed=True), 42) for i in ids]
-            w, s_of, t_of = [], [], []
-            at = np.nonzero(grams.test(runs.gram))[0]
-            for p, lo, hi, t in zip(
-                runs.p[at].tolist(), runs.lo[at].tolist(), runs.hi[at].tolist(), runs.text[at].tolist()
-            ):
-                base = int(starts[t])
-                seed = small((lo - base).to_bytes(8, "little"), seeds[t])
-                cut = p - Q - 2  # the last window start that reaches 32 bytes before the anchor
-                for side, a, z in ((0, lo, min(hi, cut)), (1, max(lo, cut + 1), hi)):
-                    if a <= z and small(side.to_bytes(8, "little"), seed) in opened:
-                        w.extend(digest(raw[s : s + length]) for s in range(a, z + 1))
-                        s_of.extend(range(a - base, z + 1 - base))
-                        t_of.extend([t] * (z - a + 1))
-                if len(w) > FLUSH:
-                    yield rows(b, w, s_of, t_of)
-                    w, s_of, t_of = [], [], []
-            yield rows(b, w, s_of, t_of)
-
-    kinds = "w1 long, w2 long, id long, h long, start long"
-    windows = scratch.write(long_enough.mapInArrow(window_pass, kinds))
-    lowest = windows.groupBy("w1", "w2").agg(F.min(F.struct("id", "start")).alias("f"), F.count("*").alias("n"))
-    late = windows.join(lowest.where("n > 1").select("w1", "w2", "f"), ["w1", "w2"])
-    late = late.where(F.struct("id", "start") > F.col("f"))
-    return whole_units.union(late.select("id", "h", "start", (F.col("start") + length).alias("stop")))
-
-
-def _starts(batch: pa.RecordBatch) -> np.ndarray:
-    """Where each text of the batch begins in the buffer."""
-    texts = batch.column("text").cast(pa.large_binary())
-    return np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset :][: len(texts)]
+        """Spans known to repeat (sure), and the windows still to be compared.
+
+        Of equal windows in one batch only the earliest goes on, the others repeat for sure. So
+        a window that very many texts share costs one row per batch.
+        """
+        for b, raw, starts, runs in _batches(batches, length):
+            marks, ids = Marks(*crowded.value), b.column("id").to_pylist()
+            seen: dict[int, tuple] = {}
+            sure: list[tuple[int, int, int]] = []
+            same: list[tuple[int, tuple]] = []
+
+            def rows(b=b, ids=ids):
+                low = (1 << 64) - 1
+                spans = list(_merged(sorted(sure)))
+                keys = [*seen, *[w for w, _ in same]]
+                places = [*seen.values(), *[x for _, x in same]]
+                text = pa.array([t for t, _, _ in spans] + [t for _, _, t in places], pa.int64())
+                start = [a for _, a, _ in spans] + [s for _, s, _ in places]
+                stop = [z for _, _, z in spans] + [s + length for _, s, _ in places]
+                w1 = [ids[t] & low for t, _, _ in spans] + [w >> 64 for w in keys]
+                w2 = [a for _, a, _ in spans] + [w & low for w in keys]
+                return pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([True] * len(spans) + [False] * len(keys), pa.bool_()),
+                        _signed(np.array(w1, dtype=np.uint64)), _signed(np.array(w2, dtype=np.uint64)),
+                        b.column("id").take(text), b.column("h").take(text),
+                        pa.array(start, pa.int64()), pa.array(stop, pa.int64()),
+                    ],
+                    ["sure", "w1", "w2", "id", "h", "start", "stop"],
+                )
+
+            for i, t, first in left_over(runs, starts, b.column("id")):
+                base, p, lo, hi = int(starts[t]), int(runs.p[i]), int(runs.lo[i]), int(runs.hi[i])
+                if not first:
+                    sure.append((t, lo - base, hi + length - base))
+                    continue
+                for c, a, z in cores(raw, p, lo, hi):
+                    if c not in marks:
+                        continue
+                    for s in range(a, z + 1):
+                        w = xxhash.xxh3_128_intdigest(raw[s : s + length])
+                        here = (ids[t], s - base, t)
+                        known = seen.setdefault(w, here)
+                        if known[:2] == here[:2]:
+                            if known is not here:  # a row with the same id and text
+                                same.append((w, here))
+                            continue
+                        late = max(known, here)
+                        seen[w] = min(known, here)
+                        sure.append((late[2], late[1], late[1] + length))
+                if len(seen) + len(sure) > FLUSH:
+                    yield rows()
+                    seen.clear(), sure.clear(), same.clear()
+            yield rows()
+
+    kinds = "sure boolean, w1 long, w2 long, id long, h long, start long, stop long"
+    windows = texts.mapInArrow(window_pass, kinds)
+    # ties are one place, named by an id twice: neither is earlier
+    order = Window.partitionBy("sure", "w1", "w2").orderBy("id", "start")
+    late = windows.withColumn("r", F.rank().over(order)).where("sure or r > 1")
+    return late.select("id", "h", "start", "stop")
 
 
 def drop_repeats(
@@ -271,12 +310,12 @@ def drop_repeats(
     with a smaller id, or in the same row further left. Strings are judged on the input. Whole
     texts as UTF-8; a null text is empty. Ids are whole numbers; rows with a null id come after all
     others and are one place in that order. Rows that repeat an id count as the same document:
-    a string at the same place of both is not earlier in either. ``length`` is 97 or more.
+    a string at the same place of both is not earlier in either. ``length`` is 64 or more.
     ``most_bits`` bounds the broadcast bit maps (2 ** 28 bits are 32 MB); beyond about 2 ** 24
     repeated q-grams more bits save work, with fewer the result is the same.
     """
-    if length < 3 * Q + 1:
-        raise ValueError("length must be at least 97 bytes")
+    if length < 2 * Q:
+        raise ValueError("length must be at least 64 bytes")
     scratch = Scratch(docs.sparkSession, "substrings")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
