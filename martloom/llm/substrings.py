@@ -116,17 +116,20 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 class Marks:
-    """A set of 64-bit hashes as a bit map: no member is missed, few others pass."""
+    """A set of 64-bit hashes as a bit map of their low bits: no member is missed, few others pass.
+
+    The high bits would not do, as anchors are chosen for small hashes.
+    """
 
     def __init__(self, bits: int, words: np.ndarray):
-        self.shift, self.words = np.uint64(64 - bits), words
+        self.mask, self.words = (1 << bits) - 1, words
 
     def __contains__(self, value: int) -> bool:
-        at = value >> int(self.shift)
+        at = value & self.mask
         return bool(int(self.words[at >> 6]) >> (at & 63) & 1)
 
     def test(self, values: np.ndarray) -> np.ndarray:
-        at = values >> self.shift
+        at = values & np.uint64(self.mask)
         word = self.words[(at >> np.uint64(6)).astype(np.int64)]
         return (word >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
@@ -138,8 +141,8 @@ def mark(hashes: DataFrame, most_bits: int) -> tuple[int, np.ndarray]:
     too small the map lets more pass, which costs time and changes no result.
     """
     bits = min(most_bits, max(12, (16 * hashes.count()).bit_length()))
-    spot = F.shiftrightunsigned("h", 64 - bits)
-    lit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))")
+    spot = F.col("h").bitwiseAND((1 << bits) - 1)
+    lit = F.expr("shiftleft(1L, cast(h & 63 as int))")
     words = hashes.groupBy(F.shiftright(spot, 6).alias("at")).agg(F.bit_or(lit).alias("word"))
     out = np.zeros(max(1, (1 << bits) // 64), dtype=np.uint64)
     found = words.toArrow()
