@@ -1,16 +1,18 @@
 """Approximate nearest neighbours by inner product: NN-descent graph, greedy graph search.
 
-Vectors of equal value are one node. Vectors are lifted by one component to equal length, so that
-near in angle means near in inner product. A first graph comes from random
-projections; NN-descent then joins the neighbours of each node with each other, round by round, until
-few edges change. Queries walk the graph: the best nodes found so far are expanded by a
-join with their neighbours, and the survivors are ranked with the original vectors.
+Vectors of equal value are one node. Nodes are lifted by one component to equal length; a query's last
+component is 0, so that the nodes nearest to it in angle are those of the largest inner product. A first
+graph comes from random projections; NN-descent then joins the neighbours of each node with each other, round
+by round, until few edges change. The longest vectors (``HEADS``) are compared with every query. Queries walk
+the graph from the best of these and from their own neighbours: the best nodes found so far are expanded
+by a join with their neighbours, and the survivors are ranked with the original vectors.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from martloom.llm.common import Scratch, partitions
 
 LEAF = 512  # nodes compared with each other when the first graph is made
 PART = 8192  # nodes of one range of a random projection
+HEADS = 2048  # longest vectors, compared with every query
+STARTS = 64  # of these, the best from which a query walks
 
 
 def _matrix(column, kind: str) -> np.ndarray:
@@ -65,11 +69,13 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.mapInArrow(run, "id long, full binary, norm2 double"), kind
 
 
-def make_nodes(rows: DataFrame, kind: str, scratch: Scratch, members: int) -> DataFrame:
-    """(node, full, code, members): one row per different vector.
+def make_nodes(rows: DataFrame, kind: str, scratch: Scratch, members: int) -> tuple[DataFrame, DataFrame, str]:
+    """(node, full, code, members), one row per different vector; the longest of them; the code's type.
 
     node is its smallest id, members its ``members`` smallest ids: no list of nearest ids, with ties to
-    the smaller, can need more of them. code is the lifted vector at half precision.
+    the smaller, can need more of them. code is the lifted vector, in units of the shortest of the
+    ``HEADS`` longest; these are cut to that length in code, so that a few outlying lengths do not
+    crush all others. Half precision does where lengths differ little, else single.
     """
     rank = F.row_number().over(Window.partitionBy("full").orderBy("id"))
     few = rows.withColumn("r", rank).where(F.col("r") <= members)
@@ -77,15 +83,21 @@ def make_nodes(rows: DataFrame, kind: str, scratch: Scratch, members: int) -> Da
         F.array_sort(F.collect_list("id")).alias("members"), F.max("norm2").alias("norm2")
     )
     grouped = scratch.write(grouped)
-    longest = grouped.agg(F.max("norm2")).first()[0] or 1.0
+    heads = grouped.orderBy(F.desc("norm2"), "full").limit(HEADS)
+    heads = scratch.write(heads.select(F.element_at("members", 1).alias("node"), "full", "norm2"))
+    longest = heads.agg(F.min("norm2")).first()[0] or 1.0
+    shortest = grouped.agg(F.min("norm2")).first()[0] or 0.0
+    code_kind = "<f2" if shortest > 0.5 * longest else "<f4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             x = _matrix(b.column("full"), kind).astype(np.float64)
-            last = np.sqrt(np.maximum(0, longest - (x * x).sum(axis=1)))
-            code = (np.hstack([x, last[:, None]]) / math.sqrt(longest)).astype("<f2")
+            x /= math.sqrt(longest)
+            x /= np.maximum(1, np.sqrt((x * x).sum(axis=1)))[:, None]
+            last = np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
+            code = np.hstack([x, last[:, None]]).astype(code_kind)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([m[0].as_py() for m in b.column("members")], pa.int64()),
@@ -95,9 +107,42 @@ def make_nodes(rows: DataFrame, kind: str, scratch: Scratch, members: int) -> Da
             )
 
     columns = grouped.select("full", "members")
-    return scratch.write(
+    nodes = scratch.write(
         columns.mapInArrow(run, "node long, full binary, code binary, members array<long>")
     )
+    return nodes, heads, code_kind
+
+
+def head_starts(asked: DataFrame, heads: DataFrame, kind: str, code_kind: str, most: int) -> DataFrame:
+    """(q, code, nodes, sims): each query's code and the ``most`` best of the longest vectors for it.
+
+    ``asked`` is (q, full). A query's code is its direction with 0 as the last component; sims are its inner
+    products with the nodes, in the nodes' units. The longest vectors go to the tasks with the function; there are at most ``HEADS``.
+    """
+    few = heads.toPandas()
+    ids = few["node"].to_numpy(dtype=np.int64)
+    longs = np.array([np.frombuffer(v, dtype=kind) for v in few["full"]], dtype=np.float64)
+    longs /= math.sqrt(few["norm2"].min() or 1.0) if len(few) else 1.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = _matrix(b.column("full"), kind).astype(np.float64)
+            x /= np.abs(x).max(axis=1)[:, None]
+            x /= np.sqrt((x * x).sum(axis=1))[:, None]
+            code = np.hstack([x, np.zeros((len(x), 1))]).astype(code_kind)
+            sim = x @ longs.T
+            n = min(most, len(ids))
+            best = np.argpartition(-sim, n - 1, axis=1)[:, :n]
+            starts = pa.ListArray.from_arrays(pa.array(range(0, n * len(x) + 1, n), pa.int32()), pa.array(ids[best].ravel()))
+            sims = pa.ListArray.from_arrays(starts.offsets, pa.array(np.take_along_axis(sim, best, axis=1).ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("q"), pa.array([c.tobytes() for c in code], pa.binary()), starts, sims],
+                ["q", "code", "nodes", "sims"],
+            )
+
+    return asked.select("q", "full").mapInArrow(run, "q long, code binary, nodes array<long>, sims array<double>")
 
 
 def _top(edges: DataFrame, by: str, k: int) -> DataFrame:
@@ -107,7 +152,7 @@ def _top(edges: DataFrame, by: str, k: int) -> DataFrame:
     return edges.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).drop("r")
 
 
-def first_graph(nodes: DataFrame, n: int, k: int, trees: int, seed: int) -> DataFrame:
+def first_graph(nodes: DataFrame, n: int, k: int, trees: int, seed: int, kind: str = "<f2") -> DataFrame:
     """(u, v, sim): per tree, ranges of a random projection, split by hyperplanes into leaves."""
     parts = max(1, math.ceil(n / PART))
     out = None
@@ -116,7 +161,7 @@ def first_graph(nodes: DataFrame, n: int, k: int, trees: int, seed: int) -> Data
         def project(batches: Iterator[pa.RecordBatch], tree=tree) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
-                    x = _matrix(b.column("code"), "<f2").astype(np.float32)
+                    x = _matrix(b.column("code"), kind).astype(np.float32)
                     line = np.random.default_rng(seed + tree).standard_normal(x.shape[1])
                     yield pa.RecordBatch.from_arrays(
                         [*b.columns, pa.array(x @ line, pa.float64())], ["node", "code", "at"]
@@ -127,7 +172,7 @@ def first_graph(nodes: DataFrame, n: int, k: int, trees: int, seed: int) -> Data
             if not held:
                 return
             ids = np.concatenate([b.column("node").to_numpy() for b in held])
-            x = np.vstack([_matrix(b.column("code"), "<f2") for b in held]).astype(np.float32)
+            x = np.vstack([_matrix(b.column("code"), kind) for b in held]).astype(np.float32)
             rng = np.random.default_rng(seed + 1000 + tree)
             stack = [np.arange(len(ids))]
             while stack:
@@ -175,12 +220,12 @@ def _by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Record
         yield rest
 
 
-def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _local_join(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     """Better edges among the neighbours of one node: pairs that beat an end's worst edge."""
     for b in _by_group(batches, "c"):
         c, m = b.column("c").to_numpy(), b.column("m").to_numpy()
         fresh, worst = b.column("fresh").to_numpy(zero_copy_only=False), b.column("worst").to_numpy()
-        x = _matrix(b.column("code"), "<f2").astype(np.float32)
+        x = _matrix(b.column("code"), kind).astype(np.float32)
         starts = np.nonzero(np.diff(c, prepend=c[0] - 1))[0].tolist() + [len(c)]
         u, v, s = [], [], []
         for lo, hi in zip(starts, starts[1:]):
@@ -206,6 +251,7 @@ def build_graph(
     nodes: DataFrame,
     scratch: Scratch,
     *,
+    kind: str = "<f2",
     k: int = 48,
     reverse: int = 32,
     trees: int = 4,
@@ -221,7 +267,7 @@ def build_graph(
     edges are new, or after ``rounds``.
     """
     n = nodes.count()
-    first = first_graph(nodes, n, k, trees, seed).groupBy("u", "v").agg(F.max("sim").alias("sim"))
+    first = first_graph(nodes, n, k, trees, seed, kind).groupBy("u", "v").agg(F.max("sim").alias("sim"))
     edges = scratch.write(_top(first, "u", k).withColumn("fresh", F.lit(True)))
     for turn in range(rounds):
         worst = edges.groupBy("u").agg(F.min("sim").alias("low"), F.count("*").alias("n"))
@@ -237,7 +283,7 @@ def build_graph(
         known = known.withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
         full = around.join(known, "m").select("c", "m", "fresh", "worst", "code")
         spread = full.repartition(partitions(nodes.sparkSession), "c").sortWithinPartitions("c")
-        found = spread.mapInArrow(_local_join, "u long, v long, sim double")
+        found = spread.mapInArrow(partial(_local_join, kind=kind), "u long, v long, sim double")
         found = found.groupBy("u", "v").agg(F.max("sim").alias("sim")).withColumn("fresh", F.lit(True))
         both = edges.withColumn("fresh", F.lit(False)).union(found)
         both = both.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
@@ -250,12 +296,11 @@ def build_graph(
     return edges.select("u", "v", "sim")
 
 
-def _score(rows: DataFrame, left: str, right: str, kind: str) -> DataFrame:
+def _score(rows: DataFrame, left: str, right: str, kind: str, wide: str = "<f8") -> DataFrame:
     """``rows`` with ``sim``: inner products of two binary columns, which are dropped."""
     keep = [c for c in rows.columns if c not in (left, right)]
     rows = rows.select(*keep, left, right)
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    wide = "<f4" if kind == "<f2" else "<f8"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -276,13 +321,14 @@ def greedy_search(
     nodes: DataFrame,
     scratch: Scratch,
     *,
+    kind: str = "<f2",
     keep: int = 128,
     expand: int = 32,
     rounds: int = 4,
 ) -> DataFrame:
-    """(q, node, sim): up to ``keep`` near nodes of each query, by the lifted vectors.
+    """(q, node, sim): up to ``keep`` nodes of each query with a large inner product.
 
-    ``queries`` is (q, code), the lifted query; ``entry`` (q, node, sim) are the starting nodes. Each round
+    ``queries`` is (q, code), the query's direction with 0 as its last component; ``entry`` (q, node, sim) are the starting nodes. Each round
     expands the best ``expand`` nodes of a query not expanded before; the search ends when no
     query has one left among its ``keep`` best, or after ``rounds``.
     """
@@ -296,7 +342,7 @@ def greedy_search(
         found = ahead.join(graph, "u").select("q", F.col("v").alias("node")).distinct()
         found = found.join(state.select("q", "node"), ["q", "node"], "left_anti")
         pairs = found.join(codes, "node").join(queries, "q").select("q", "node", "theirs", "code")
-        scored = _score(pairs, "theirs", "code", "<f2").withColumn("done", F.lit(False))
+        scored = _score(pairs, "theirs", "code", kind, "<f4").withColumn("done", F.lit(False))
         seen = turn.select("q", "node", "sim", (F.col("done") | F.col("now")).alias("done"))
         after = scratch.write(_top(seen.select("q", "node", "sim", "done").union(scored), "q", keep))
         scratch.drop(state)
@@ -320,14 +366,21 @@ def nearest_neighbours(
     rows, kind = usable(vectors, id_col, vec_col)
     rows = rows.groupBy("id").agg(F.min("full").alias("full"), F.max("norm2").alias("norm2"))
     rows = scratch.write(rows)
-    nodes = make_nodes(rows, kind, scratch, k + 1)
-    graph = build_graph(nodes, scratch)
+    nodes, heads, code_kind = make_nodes(rows, kind, scratch, k + 1)
+    graph = build_graph(nodes, scratch, kind=code_kind)
     asked = rows.where(F.col("id") % every == 0).select(F.col("id").alias("q"), "full")
-    at = asked.join(nodes.select("full", "node", "code"), "full").select("q", "node", "full", "code")
-    at = scratch.write(at)
-    own = at.select("q", "node", F.lit(2.0).alias("sim"))
-    near = at.select("q", F.col("node").alias("u")).join(graph, "u").select("q", F.col("v").alias("node"), "sim")
-    found = greedy_search(at.select("q", "code"), own.union(near), graph, nodes, scratch)
+    at = scratch.write(asked.join(nodes.select("full", "node"), "full").select("q", "node", "full"))
+    starts = scratch.write(head_starts(at, heads, kind, code_kind, max(STARTS, k + 1)))
+    codes = starts.select("q", "code")
+    # a query's own neighbours are scored as a query scores them, without its lift
+    near = at.select("q", F.col("node").alias("u")).join(graph, "u").select("q", F.col("v").alias("node"))
+    near = at.select("q", "node").union(near)
+    near = near.join(nodes.select("node", F.col("code").alias("theirs")), "node").join(codes, "q")
+    near = _score(near.select("q", "node", "theirs", "code"), "theirs", "code", code_kind, "<f4")
+    best = starts.select("q", F.inline(F.arrays_zip("nodes", "sims"))).toDF("q", "node", "sim")
+    # a head is cut in its code, not in its own score, which is the larger
+    entry = near.union(best).groupBy("q", "node").agg(F.max("sim").alias("sim"))
+    found = greedy_search(codes, entry, graph, nodes, scratch, kind=code_kind)
     # rank with the original vectors, and every id that shares one
     pairs = found.select("q", "node").join(nodes.select("node", F.col("full").alias("theirs"), "members"), "node")
     pairs = pairs.join(at.select("q", "full"), "q").select("q", "members", "theirs", "full")
