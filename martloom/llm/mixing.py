@@ -49,6 +49,20 @@ def rake(cells: DataFrame, rounds: int) -> DataFrame:
     return out
 
 
+def rake_bounded(cells: DataFrame, rounds: int, keep_share: float) -> DataFrame:
+    """Column ``w`` as of ``rake``, but no weight exceeds its cell's tokens and the goals are tokens to keep.
+
+    Each step multiplies the weights of a category by goal / current total and cuts them to the cell's
+    tokens; the next round gives what was cut to the category's other cells.
+    """
+    out = cells.withColumn("w", F.col("tokens") * F.lit(keep_share))
+    for _ in range(rounds):
+        for i, key in enumerate(KEYS):
+            now = F.sum("w").over(Window.partitionBy(key))
+            out = out.withColumn("w", F.least(F.col("tokens").cast("double"), F.col("w") * F.col(f"g{i}") / now))
+    return out
+
+
 def calibrate(cells: DataFrame, keep_share: float, most_steps: int = 100) -> float:
     """Factor c such that sum(tokens * min(1, c * w / tokens)) = keep_share * sum(tokens).
 
@@ -86,6 +100,7 @@ def mix(
     keep_share: float = 0.8,
     rounds: int = 12,
     seed: str = "mix",
+    bounded: bool = False,
 ) -> DataFrame:
     """``docs`` with topic, n_tokens, probability and kept.
 
@@ -96,6 +111,10 @@ def mix(
     probability: the same id always falls alike, and repeated ids together. A null source, language or
     topic is a category of its own; a null id counts as the text "null". Documents without tokens
     are in no target and always stay. Existing columns of the four names are replaced.
+
+    Cutting probabilities to 1 after raking moves the margins away from their targets. If ``bounded``, the
+    bound is kept while raking: a category that has fewer tokens than its target asks for keeps them
+    all, and the others of its margin share the rest in proportion to their targets.
     """
     text = F.col(text_col).cast("string")
     new = ("topic", "n_tokens", "probability", "kept")
@@ -112,8 +131,15 @@ def mix(
         goal = tempered_targets(cells, key, power).select(
             F.col(key).alias("__k"), F.col("goal").alias(f"g{i}")
         )
+        if bounded:
+            own = cells.groupBy(F.col(key).alias("__c")).agg(F.sum("tokens").alias("tokens"))
+            own = goal.join(own, F.col("__k").eqNullSafe(F.col("__c")))
+            own = scratch.write(own.withColumnRenamed(f"g{i}", "w"))
+            most = F.least(F.col("tokens").cast("double"), F.lit(calibrate(own, keep_share)) * F.col("w"))
+            goal = own.select("__k", most.alias(f"g{i}"))
         goals = goals.join(goal, F.col(key).eqNullSafe(F.col("__k"))).drop("__k")
-    raked = scratch.write(rake(scratch.write(goals), rounds))
+    goals = scratch.write(goals)
+    raked = scratch.write(rake_bounded(goals, rounds, keep_share) if bounded else rake(goals, rounds))
     c = calibrate(raked, keep_share)
     rate = F.least(F.lit(1.0), F.lit(c) * F.col("w") / F.col("tokens"))
     chances = raked.select(
