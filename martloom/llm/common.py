@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +59,51 @@ def crc_mod(key: Column, n: int) -> Column:
 def words(text: Column) -> Column:
     """Words between ASCII white space; an empty array for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
+
+
+class Numbers(dict):
+    """Numbers for hashable things, in order of first sight: ``numbers[thing]``."""
+
+    def __missing__(self, thing) -> int:
+        self[thing] = number = len(self)
+        return number
+
+
+def flat_slices(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``values[starts[i] : starts[i] + lengths[i]]`` for all i, end to end."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+
+
+class WordTable:
+    """Ids of words, each word encoded once per task; the table is emptied when it has grown large.
+
+    ``encode`` takes a list of words and returns a list of ids for each.
+    """
+
+    def __init__(self, encode: Callable[[list], list[list[int]]], most_ids: int = 4_000_000):
+        self.encode, self.most_ids = encode, most_ids
+        self._empty()
+
+    def _empty(self) -> None:
+        self.numbers = Numbers()
+        self.start, self.length, self.flat = (np.zeros(0, dtype=np.int64) for _ in range(3))
+
+    def lookup(self, texts: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the number of ids of each; a text is a list of words."""
+        if len(self.flat) + len(self.numbers) > self.most_ids:
+            self._empty()
+        known, get = len(self.numbers), self.numbers.__getitem__
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        at = np.fromiter((n for t in texts for n in map(get, t)), dtype=np.int64, count=int(sizes.sum()))
+        if len(self.numbers) > known:
+            new = self.encode(list(self.numbers)[known:])
+            length = np.array([len(x) for x in new], dtype=np.int64)
+            start = len(self.flat) + np.cumsum(length) - length
+            self.flat = np.concatenate([self.flat, *[np.asarray(x, dtype=np.int64) for x in new]])
+            self.start, self.length = np.concatenate((self.start, start)), np.concatenate((self.length, length))
+        lengths = self.length[at]
+        upto = np.concatenate(([0], np.cumsum(lengths)))
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        return flat_slices(self.flat, self.start[at], lengths), np.diff(upto[bounds])

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import langid, toxicity
-from martloom.llm.common import Scratch, crc_mod, table
+from martloom.llm.common import Scratch, crc_mod, table, words
 from martloom.llm.line_dedup import drop_spread_lines
 from martloom.llm.mixing import mix
 from martloom.llm.neighbours import nearest_neighbours
+from martloom.llm.packing import pack
 from martloom.llm.pieces import encode_texts
 from martloom.llm.quality import judge_quality
+from martloom.llm.ranked import build_index, search
+from martloom.llm.runs import periodic_runs, plant_runs, strongest_run
 from martloom.llm.simhash import simhash_groups
 from martloom.llm.substrings import drop_repeats
 from martloom.llm.warc import warc_round_trip
@@ -36,6 +39,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def tokenizer_path() -> str:
+    """The installed public BPE vocabulary with word ends; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query("op1_nearest_neighbours")
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), every=20, k=20)
@@ -254,3 +264,59 @@ from r
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark, "warc").root
     return warc_round_trip(table(spark, sf_dir, "pages"), path)
+
+
+RANKED_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+whole as (
+  select cast(count(*) as bigint) as docs, cast(sum(len(terms)) as bigint) as terms from d where len(terms) > 0),
+norms as (
+  select doc_id, 75 + (25 * cast(len(d.terms) as bigint) * whole.docs) // whole.terms as m from d, whole where len(d.terms) > 0),
+tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(terms) as term from d) group by all),
+df as (select term, count(*) as df from tf group by term),
+asked as (
+  select item_id, term, count(*) as times from (
+    select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark)
+  group by all),
+weighed as (
+  select item_id, term, times * cast(floor(1000 * ln(cast(2 * docs + 2 as double) / (2 * df + 1))) as bigint) as w
+  from asked join df using (term), whole),
+scored as (
+  select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) as score
+  from weighed join tf using (term) join norms using (doc_id) group by all),
+ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 20
+"""
+
+
+@query("op11_ranked_search", RANKED_SQL)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = Scratch(spark, "index").write(build_index(table(spark, sf_dir, "documents")))
+    return search(index, table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mark = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periodic_runs(plant_runs(docs, "text", words(F.col("text")), mark))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.col("best")
+    return found.withColumn("best", strongest_run(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_pack_sequences")
+def op13_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
