@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,10 +81,10 @@ def flat_slices(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
 class WordTable:
     """Ids of words, each word encoded once per task; the table is emptied when it has grown large.
 
-    ``encode`` takes a list of words and returns a list of ids for each.
+    ``encode`` takes a list of words and returns their ids end to end and the number of ids of each.
     """
 
-    def __init__(self, encode: Callable[[list], list[list[int]]], most_ids: int = 4_000_000):
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most_ids: int = 4_000_000):
         self.encode, self.most_ids = encode, most_ids
         self._empty()
 
@@ -90,20 +92,26 @@ class WordTable:
         self.numbers = Numbers()
         self.start, self.length, self.flat = (np.zeros(0, dtype=np.int64) for _ in range(3))
 
-    def lookup(self, texts: list[list]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and the number of ids of each; a text is a list of words."""
+    def lookup(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all lists of words end to end, and the number of ids of each list; no list may be null."""
         if len(self.flat) + len(self.numbers) > self.most_ids:
             self._empty()
-        known, get = len(self.numbers), self.numbers.__getitem__
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        at = np.fromiter((n for t in texts for n in map(get, t)), dtype=np.int64, count=int(sizes.sum()))
+        known = len(self.numbers)
+        words = lists.flatten().dictionary_encode()
+        number = map(self.numbers.__getitem__, words.dictionary.to_pylist())
+        at = np.fromiter(number, dtype=np.int64, count=len(words.dictionary))[words.indices.to_numpy()]
         if len(self.numbers) > known:
-            new = self.encode(list(self.numbers)[known:])
-            length = np.array([len(x) for x in new], dtype=np.int64)
+            flat, length = self.encode(list(islice(self.numbers, known, None)))
             start = len(self.flat) + np.cumsum(length) - length
-            self.flat = np.concatenate([self.flat, *[np.asarray(x, dtype=np.int64) for x in new]])
+            self.flat = np.concatenate((self.flat, flat))
             self.start, self.length = np.concatenate((self.start, start)), np.concatenate((self.length, length))
         lengths = self.length[at]
         upto = np.concatenate(([0], np.cumsum(lengths)))
-        bounds = np.concatenate(([0], np.cumsum(sizes)))
-        return flat_slices(self.flat, self.start[at], lengths), np.diff(upto[bounds])
+        ends = lists.offsets.to_numpy()
+        return flat_slices(self.flat, self.start[at], lengths), np.diff(upto[ends - ends[0]])
+
+
+def end_to_end(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the lists in one array, and the length of each list."""
+    lengths = np.array([len(x) for x in lists], dtype=np.int64)
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(lengths.sum())), lengths

@@ -14,17 +14,19 @@ equal length.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.common import Scratch, WordTable
+from martloom.llm.common import Scratch, WordTable, end_to_end
 from martloom.operators.dedup import row_sequence
 
 DEEP = 1024  # three lengths are combined for windows up to this size, two for larger ones
@@ -167,13 +169,79 @@ def make_plan(hist: np.ndarray, window: int = 4096) -> Plan:
     return Plan(window, *columns, dict(sorted(windows.items())), left)
 
 
+class WordEncoder:
+    """Ids of single words as the tokenizer gives them, many words at a time.
+
+    For a vocabulary whose pieces mark the end of a word, words are cut where the tokenizer cuts them itself (runs of
+    letters, digits, runs of ASCII punctuation), and the parts are encoded as one text; each must end one marked piece, or
+    the tokenizer is asked about each alone. Words with any other character are given to it as they are.
+    """
+
+    def __init__(self, model, mark: str = "</w>"):
+        self.model = model
+        self.ends = np.zeros(model.get_vocab_size(), dtype=bool)
+        marked = [number for piece, number in model.get_vocab().items() if piece.endswith(mark)]
+        self.ends[marked] = True
+        self.parts = WordTable(self._joined) if marked else None
+        # an apostrophe may begin a part with letters, "<" a special piece
+        self.cut = re.compile(r"[^\W\d_]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+|\n")
+        self.plain = {chr(c) for c in range(33, 127)} - {"'", "<"} | {"\n"}
+
+    def _single(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return end_to_end([e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)])
+
+    def _joined(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        for lo in range(0, len(parts), 1000):
+            some = parts[lo : lo + 1000]
+            ids = self._single([" ".join(some)])[0]
+            at = np.flatnonzero(self.ends[ids]) + 1
+            # every part ends a marked piece at least, so as many ends as parts means one each
+            whole = len(at) == len(some) and at[-1] == len(ids)
+            out.append((ids, np.diff(at, prepend=0)) if whole else self._single(some))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def _cut(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, digits and ASCII punctuation, and how many each has."""
+        parts = np.array(self.cut.findall("\n".join(words) + "\n"), dtype=object)
+        ends = np.flatnonzero(parts == "\n")
+        offsets = np.concatenate(([0], ends - np.arange(len(words)))).astype(np.int32)
+        return self.parts.lookup(pa.ListArray.from_arrays(offsets, pa.array(parts[parts != "\n"], pa.string())))
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.parts is None:
+            return self._single(words)
+        # letters that are lowered to something beside letters are not cut as letters
+        odd = [c for c in set("".join(words)) - self.plain if c.isascii() or not (c.isalpha() and c.lower().isalpha())]
+        if not odd:
+            return self._cut(words)
+        has = re.compile("[" + re.escape("".join(odd)) + "]").search
+        known = np.array([not has(w) for w in words])
+        sizes = np.zeros(len(words), dtype=np.int64)
+        other, sizes[~known] = self._single([w for w, k in zip(words, known) if not k])
+        ids = other[:0]
+        if known.any():
+            ids, sizes[known] = self._cut([w for w, k in zip(words, known) if k])
+        mine = np.repeat(known, sizes)
+        out = np.zeros(len(mine), dtype=np.int64)
+        out[mine], out[~mine] = ids, other
+        return out, sizes
+
+
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """Words between ASCII white space, lowered as the tokenizer does, but for texts that may hold special pieces."""
+    texts = pc.fill_null(texts, "")
+    special = pc.match_substring(texts, "<|")
+    return pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+
+
 def tokenise(docs: DataFrame, model_path: str, text_col: str, end_id: int, window: int) -> DataFrame:
     """``docs`` columns, ``__row`` (unique), ``__n``, ``__first`` and ``__ids`` (little-endian numbers of 32 bits).
 
     ``__first`` numbers the first whole window of a row, so that all whole windows have numbers of their own.
 
-    Ids are those the tokenizer gives the whole text, then ``end_id``. The tokenizer must not let a piece reach across
-    ASCII white space, so that words can be encoded once each and remembered.
+    Ids are those the tokenizer gives the whole text, then ``end_id``. The tokenizer must ignore the case of A-Z and must
+    not let a piece reach across ASCII white space, so that words can be encoded once each and remembered.
     """
     keep = [c for c in docs.columns if c != text_col]
     rows = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
@@ -186,16 +254,12 @@ def tokenise(docs: DataFrame, model_path: str, text_col: str, end_id: int, windo
 
         model = Tokenizer.from_str(content.value)
 
-        def encode(words: list[bytes]) -> list[list[int]]:
-            return [e.ids for e in model.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-
-        table, row = WordTable(encode), TaskContext.get().partitionId() << 32
+        table, row = WordTable(WordEncoder(model)), TaskContext.get().partitionId() << 32
         whole = row
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                words = [(t.as_py() or b"").split() for t in part.column(len(keep)).cast(pa.binary())]
-                flat, n = table.lookup(words)
+            for lo in range(0, batch.num_rows, 2000):
+                part = batch.slice(lo, 2000)
+                flat, n = table.lookup(words_of(part.column(len(keep))))
                 ends = np.cumsum(n)
                 flat = np.insert(flat.astype("<u4"), ends, end_id)
                 ends = (ends + np.arange(1, len(ends) + 1)) * 4
