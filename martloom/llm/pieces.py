@@ -12,10 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from martloom.llm.common import WordTable, end_to_end, flat_slices
+
 MARK = "▁"  # stands for a space
-CACHE = 400_000  # words whose segmentation a task remembers at a time
+LONG = 64  # characters from which a word is solved on its own
+TOGETHER = 1 << 14  # words solved side by side
 
 
 class DoubleArray:
@@ -156,49 +160,141 @@ class Vocabulary:
         return out[::-1], score[n]
 
 
+class Batch:
+    """Viterbi for many words side by side, place by place; gives what ``Vocabulary.best`` gives for each."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.v = vocabulary
+        trie = vocabulary.trie
+        self.base, self.check, self.value = (np.array(x, dtype=np.int32) for x in (trie.base, trie.check, trie.value))
+        self.scores = np.array(vocabulary.scores)
+        self.code = np.zeros(0x110000, dtype=np.int32)
+        for ch, number in trie.code.items():
+            self.code[ord(ch)] = number
+
+    def best(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words end to end, and the number of ids of each."""
+        out: list = [None] * len(words)
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        order = np.argsort(sizes, kind="stable")
+        order = order[sizes[order] <= LONG]
+        for lo in range(0, len(order), TOGETHER):
+            some = order[lo : lo + TOGETHER]
+            self._together([words[i] for i in some], sizes[some], some, out)
+        for i, ids in enumerate(out):
+            if ids is None:
+                out[i] = self.v.best(words[i])[0]
+        return end_to_end(out)
+
+    def _together(self, words: list[str], sizes: np.ndarray, places: np.ndarray, out: list) -> None:
+        """Fill ``out`` at ``places``, but for words with characters that are no pieces; ``sizes`` rises."""
+        n, width = len(words), int(sizes[-1])
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        codes = np.zeros((n, width + 1), dtype=np.int32)
+        codes[np.arange(width + 1) < sizes[:, None]] = self.code[chars]
+        gap = np.full((n, width + 1), width + 1)
+        score = np.zeros((n, width + 1))
+        back = np.full((n, width + 1), -1)
+        piece = np.full((n, width + 1), -1)
+        gap[:, 0] = 0
+        for i in range(width):
+            rows = np.arange(np.searchsorted(sizes, i, side="right"), n)  # words that have a place i
+            single, state, end, mine = np.zeros(n, dtype=bool), np.zeros(len(rows), dtype=np.int32), i, rows
+            while True:
+                c = codes[mine, end]
+                t = self.base[state] + c
+                on = (c > 0) & (self.check[t] == state)
+                mine, state = mine[on], t[on]
+                if not len(mine):
+                    break
+                end += 1
+                number = self.value[state]
+                has = number >= 0
+                r, number = mine[has], number[has]
+                if end == i + 1:
+                    single[r] = True
+                total, g = score[r, i] + self.scores[number], gap[r, i]
+                better = (g < gap[r, end]) | (g == gap[r, end]) & ((back[r, end] < 0) | (total > score[r, end]))
+                r = r[better]
+                gap[r, end], score[r, end], back[r, end], piece[r, end] = g[better], total[better], i, number[better]
+            r = rows[~single[rows]]
+            r = r[gap[r, i] + 1 < gap[r, i + 1]]
+            gap[r, i + 1], score[r, i + 1], back[r, i + 1], piece[r, i + 1] = gap[r, i] + 1, score[r, i], i, -1
+        rows = np.flatnonzero(gap[np.arange(n), sizes] == 0)
+        at, steps = sizes[rows], []
+        while at.any():
+            step = np.where(at > 0, piece[rows, at], -1)
+            steps.append(step)
+            at = np.where(at > 0, back[rows, at], 0)
+        if steps:
+            found = np.stack(steps[::-1], axis=1)
+            use = found >= 0
+            for i, ids in zip(places[rows].tolist(), np.split(found[use], np.cumsum(use.sum(axis=1))[:-1])):
+                out[i] = ids.tolist()
+
+
 class Codec:
-    """Encodes and decodes texts; remembers the segments of recent words."""
+    """Encodes and decodes texts; remembers the pieces of words."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.cache: dict[str, bytes] = {}
         # No path crosses these boundaries, so segments can be solved one by one: a run of marks begins
         # a segment, and a line break that is in no piece is one of its own.
-        if "\n" in vocabulary.trie.code or not vocabulary.by_word:
-            self.cut = re.compile(f"(?s){MARK}+[^{MARK}]*|[^{MARK}]+" if vocabulary.by_word else "(?s).+")
-        else:
+        self.lines = vocabulary.by_word and "\n" not in vocabulary.trie.code
+        if self.lines:
             self.cut = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
+        else:
+            self.cut = re.compile(f"(?s){MARK}+[^{MARK}]*|[^{MARK}]+" if vocabulary.by_word else "(?s).+")
+        self.table = WordTable(self._encode)
+        self.batch = Batch(vocabulary)
         self.blob = np.frombuffer(b"".join(vocabulary.raw), dtype=np.uint8)
         self.length = np.array([len(r) for r in vocabulary.raw], dtype=np.int64)
         self.start = np.cumsum(self.length) - self.length
         self.is_byte = np.zeros(len(vocabulary.raw), dtype=bool)
         self.is_byte[vocabulary.byte_id] = True
 
+    def _encode(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.batch.best([k[1:] if k[:1] == "\n" else MARK + k for k in keys])
+
+    def _keys(self, text: str) -> str:
+        """The text's segments, with spaces between: without its first mark, or else with a line break before it."""
+        segments = self.cut.findall(MARK + text.replace(" ", MARK))
+        return " ".join(s[1:] if s[0] == MARK else "\n" + s for s in segments)
+
+    def segments(self, texts: pa.Array) -> pa.ListArray:
+        """Keys (see ``_keys``) of texts that are not null; those without runs of spaces are cut all at once."""
+        if self.lines:
+            odd = pc.or_(pc.match_substring(texts, "  "), pc.starts_with(texts, " "))
+            odd = pc.or_(odd, pc.match_substring(texts, MARK))
+            cut = pc.replace_substring(texts, "\n", " \n\n \n")
+        else:
+            odd, cut = pa.array(np.ones(len(texts), dtype=bool)), texts
+        if pc.any(odd).as_py():
+            slow = pa.array([self._keys(t) for t in texts.filter(odd).to_pylist()], pa.string())
+            cut = pc.replace_with_mask(cut, odd, slow)
+        # a line break and nothing else stands for no segment
+        return pc.split_pattern(pc.if_else(pc.equal(texts, ""), "\n", cut), " ")
+
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the number of ids of each; no text may be null.
+
+        A space is put before each text; an empty one has no ids.
+        """
+        return self.table.lookup(self.segments(texts))
+
     def encode(self, text: str) -> np.ndarray:
-        """Ids of the text with a space put before it; an empty text has none."""
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        cache, parts = self.cache, []
-        for word in self.cut.findall(MARK + text.replace(" ", MARK)):
-            ids = cache.get(word)
-            if ids is None:
-                ids = np.array(self.v.best(word)[0], dtype="<i4").tobytes()
-                if len(word) <= 64:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[word] = ids
-            parts.append(ids)
-        return np.frombuffer(b"".join(parts), dtype="<i4")
+        return self.encode_many(pa.array([text], pa.string()))[0].astype(np.int32)
+
+    def raw_many(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """Bytes of each text: marks become spaces, the first one goes."""
+        raw = flat_slices(self.blob, self.start[ids], self.length[ids]).tobytes()
+        ends = np.concatenate(([0], np.cumsum(self.length[ids])))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+        texts = (raw[a:b].replace(MARK.encode(), b" ") for a, b in zip(ends, ends[1:]))
+        return [t[1:] if t[:1] == b" " else t for t in texts]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids: marks become spaces, the first one goes; broken UTF-8 is replaced."""
-        lengths = self.length[ids]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = np.repeat(self.start[ids] - (ends - lengths), lengths)
-        raw = self.blob[shift + np.arange(total)].tobytes()
-        text = raw.replace(MARK.encode(), b" ")
-        return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
+        return self.raw_many(ids, np.array([len(ids)]))[0].decode("utf-8", "replace")
 
 
 def _codec(broadcast) -> Codec:
@@ -229,27 +325,27 @@ def encode_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
         for batch in batches:
-            texts = batch.column(at)
             # few rows at a time: the ids of long texts take more room than the texts
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                plain = texts.slice(lo, 512).to_pylist()
-                ids = [None if t is None else codec.encode(t) for t in plain]
-                exact = [None if t is None else codec.decode(x) == t for t, x in zip(plain, ids)]
-                sizes = [0 if x is None else len(x) for x in ids]
-                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])
-                empty = np.array([x is None for x in ids] + [False])
-                lists = pa.ListArray.from_arrays(
-                    pa.array(offsets, mask=empty), pa.array(flat.astype(np.int32))
-                )
-                counts = [None if x is None else len(x) for x in ids]
-                fell = [None if x is None else int(codec.is_byte[x].sum()) for x in ids]
-                digest = [None if x is None else hashlib.sha256(x.tobytes()).hexdigest() for x in ids]
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                texts = part.column(at).cast(pa.string())
+                known = texts.is_valid().to_numpy(zero_copy_only=False)
+                plain = texts.drop_null()
+                ids, sizes = codec.encode_many(plain)
+                back = codec.raw_many(ids, sizes)
+                exact = [t == b for t, b in zip(plain.cast(pa.binary()).to_pylist(), back)]
+                ends = np.cumsum(sizes)
+                raw = memoryview(ids.astype("<i4").tobytes())
+                digest = [hashlib.sha256(raw[4 * (e - n) : 4 * e]).hexdigest() for e, n in zip(ends.tolist(), sizes.tolist())]
+                fell = np.diff(np.concatenate(([0], np.cumsum(codec.is_byte[ids])))[np.concatenate(([0], ends))])
+                # back to all rows, null where the text is
+                place = pa.array(np.cumsum(known) - 1, mask=~known)
+                offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
+                made = [lists, pa.array(sizes), pa.array(fell), pa.array(digest, pa.string()), pa.array(exact, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, lists, pa.array(counts, pa.int64()), pa.array(fell, pa.int64()), pa.array(digest, pa.string()), pa.array(exact, pa.bool_())],
-                    [*keep, *[prefix + k for k in new]],
-                )
+                    [*part.columns, *(x.take(place) for x in made)], [*keep, *[prefix + k for k in new]]
+                )
 
     return rows.mapInArrow(run, schema)
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_llm_queries import plain_cut, plain_groups
@@ -134,6 +135,9 @@ def test_lines_on_many_sites_stay_once(spark, odd, none):
         assert out[i] == (f"own line number {i}\nlast words {i}", 1)
     assert all(out[100 + i] == (rows[24][1], 0) for i in range(9))
     assert out[200] == ("other words here", 1)
+    short = spark.createDataFrame([(i, f"Log in\ntext {i}\nOk\n ", f"s{i}") for i in range(10)], "doc_id long, text string, source string")
+    left = {r.doc_id: (r.text, r.n_removed) for r in drop_spread_lines(short).collect()}
+    assert left[0] == ("Log in\ntext 0\nOk\n ", 0) and left[9] == ("text 9\n ", 2)
     # near the threshold the exact count decides
     assert out == {r.doc_id: (r.text, r.n_removed) for r in drop_spread_lines(df, min_sites=12).collect()}
     assert drop_spread_lines(df, min_sites=13).where("n_removed > 0").count() == 0
@@ -241,6 +245,16 @@ def test_viterbi_matches_the_library():
     assert codec.encode("some words in one go").tolist() == whole
 
 
+def test_words_side_by_side_equal_one_by_one():
+    """Spaces in runs and at the ends, line breaks, marks in the text, characters that are no pieces."""
+    codec, rng = Codec(Vocabulary(vocabulary_path())), random.Random(8)
+    texts = ["".join(rng.choices("ab etx  \n▁é漢\U0001f600.,\x00\t", k=rng.randint(0, 30))) for _ in range(1500)]
+    texts += ["abc" * 40 + " d", "", "\n", " ", "\n a"]
+    ids, sizes = codec.encode_many(pa.array(texts))
+    for text, mine in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
+        assert mine.tolist() == (codec.v.best("▁" + text.replace(" ", "▁"))[0] if text else [])
+
+
 def test_encoding_odd_rows(odd, none):
     out = encode_texts(odd, vocabulary_path())
     rows = {r.doc_id: r for r in out.collect()}

@@ -9,7 +9,8 @@ import xxhash
 from oracle import connect, difference
 
 import __spark_entry__ as contract
-from martloom.llm.queries import ORACLES, QUERIES
+from martloom.llm.pieces import Vocabulary
+from martloom.llm.queries import ORACLES, QUERIES, vocabulary_path
 
 
 @pytest.fixture(scope="module")
@@ -132,10 +133,16 @@ def test_held_out_toxicity(spark):
     assert sum(labels[r.doc_id] for r in flagged) >= 0.9 * len(flagged) > 0
 
 
-def test_every_text_comes_back_from_its_pieces(spark, sf_dir):
+def test_every_text_has_its_best_pieces(spark, sf_dir):
+    """Each text as one string through the plain Viterbi, and its digest; the text comes back."""
+    docs, vocabulary = _docs(spark, sf_dir), Vocabulary(vocabulary_path())
     rows = QUERIES["op5_sentencepiece"](spark, sf_dir).collect()
-    assert len(rows) == len(_docs(spark, sf_dir))
+    assert len(rows) == len(docs)
+    texts = dict(zip(docs.doc_id, docs.text))
     for r in rows:
+        plain = ("▁" + texts[r.doc_id].replace(" ", "▁")) if texts[r.doc_id] else ""
+        assert r.sp_ids == vocabulary.best(plain)[0]
+        assert r.sp_bytes == sum(i in vocabulary.byte_id for i in r.sp_ids)
         assert r.sp_exact and r.sp_n == len(r.sp_ids)
         raw = np.array(r.sp_ids, dtype="<i4").tobytes()
         assert r.sp_digest == hashlib.sha256(raw).hexdigest()
