@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import Scratch
+from martloom.operators.skew import key_hash
 
 # The blank characters that may surround a line.
 BLANK = " \t\r\f\x0b"
@@ -15,6 +16,11 @@ def _split(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _key() -> Column:
+    """Joins on it as well can split a very common line between tasks, see :mod:`martloom.operators.skew`."""
+    return key_hash(F.col("a"), F.col("b")).alias("key")
+
+
 def line_places(
     docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words: int
 ) -> DataFrame:
@@ -54,9 +60,11 @@ def spread_lines(
     )
     spread = spread.where(F.col("sites") >= min_sites * (1 - band))
     sure = F.col("sites") > min_sites * (1 + band)
+    near = spread.where(~sure).select("a", "b", _key())
     exact = (
         places.where("site is not null")
-        .join(spread.where(~sure).select("a", "b"), ["a", "b"])
+        .withColumn("key", _key())
+        .join(near, ["a", "b", "key"])
         .groupBy("a", "b", "site")
         .agg(F.lit(1).alias("one"))
         .groupBy("a", "b")
@@ -73,12 +81,12 @@ def drop_spread_lines(
     site_col: str = "source",
     *,
     min_sites: int = 10,
-    min_words: int = 3,
+    min_words: int = 1,
     removed_col: str = "n_removed",
 ) -> DataFrame:
     """``docs`` without cross-site boilerplate lines, and how many lines each row lost.
 
-    A line (trimmed of blanks, at least ``min_words`` words) on ``min_sites`` sites or more
+    Every line with a word counts (``min_words`` can leave shorter ones out). A line, trimmed of blanks, on ``min_sites`` sites or more
     stays only at its first place, by id and position, so its content is not lost to the corpus.
     Nothing is lowered or folded: lines are equal if their characters are. No row is dropped; a
     text may become empty. Null and empty texts are unchanged, as are rows with a null id.
@@ -91,7 +99,8 @@ def drop_spread_lines(
     lines = spread_lines(places, min_sites)
     here = F.struct("id", "h", "at")
     gone = (
-        places.join(lines, ["a", "b"])
+        places.withColumn("key", _key())
+        .join(lines.withColumn("key", _key()), ["a", "b", "key"])
         .where(here != F.col("first"))
         .groupBy(F.col("id").alias("__id"), F.col("h").alias("__h"))
         .agg(F.collect_set("at").alias("__gone"))

@@ -221,7 +221,7 @@ with l as (
 t as (select *, trim(raw, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) as line from l),
 k as (
   select doc_id, pos, line from t
-  where line <> '' and len(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) >= 3),
+  where line <> ''),
 s as (
   select k.line, min((k.doc_id, k.pos)) as first
   from k join documents d on d.doc_id = k.doc_id
