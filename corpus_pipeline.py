@@ -15,7 +15,7 @@ from martloom.llm.line_dedup import drop_spread_lines
 from martloom.llm.mixing import mix
 from martloom.llm.pieces import encode_texts
 from martloom.llm.queries import vocabulary_path
-from martloom.llm.similar import drop_similar
+from martloom.llm.simhash import simhash_dedup
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of 0.8 similarity in five-word shingles."""
-    return drop_similar(docs, width=5, percent=80).select(*docs.columns)
+    """The document with the smallest id of each group of fingerprints linked by two differing bits or fewer."""
+    return simhash_dedup(docs, width=3, tau=2).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
