@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .joins import DimJoin, enrich, semi_by_hash
@@ -88,6 +89,28 @@ def within_days_flag(
     )
 
 
+def _splits(records: DataFrame, keys: Sequence[str], most_rows: int) -> DataFrame:
+    """(keys, __n): into how many parts the records of a key are cut, for those with over ``most_rows`` of them.
+
+    Counted in the map tasks first, so a hot key costs a row per task. There are at most as many rows as
+    all records divided by ``most_rows``.
+    """
+    counted = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    parts = F.ceil(F.col("__rows") / F.lit(most_rows)).cast("int")
+    return counted.filter(F.col("__rows") > most_rows).select(*keys, parts.alias("__n"))
+
+
+def _with_splits(df: DataFrame, splits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with ``__n`` parts of its key; the hash lets a hot key be split in this join too."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    side = splits.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__n")
+    side = side.withColumn("__h", key_hash(*[F.col(n) for n in names]))
+    # by name: the splits were counted on one of the tables that they are joined to
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    match = reduce(lambda x, y: x & y, [key_hash(*[F.col(k) for k in keys]) == F.col("__h"), *same])
+    return df.join(side, match, "left").select(*df.columns, F.coalesce("__n", F.lit(1)).alias("__n"))
+
+
 def within_days_join(
     left: DataFrame,
     right: DataFrame,
@@ -96,6 +119,7 @@ def within_days_join(
     right_date: str,
     days: int,
     how: str = "inner",
+    most_rows: int | None = None,
 ) -> DataFrame:
     """Pair rows of equal keys whose right date lies in ``[left, left + days]``.
 
@@ -103,6 +127,11 @@ def within_days_join(
     side to one row per key and day where its single rows are not needed: each left row then
     meets at most ``days + 1`` rows however often the key occurs. Right columns must not
     share names with the left ones, apart from ``on``.
+
+    ``most_rows`` is for keys that hold a large share of all rows on both sides: the right rows of a (key, bucket) with more
+    rows than that are cut into parts by a hash of the row, left rows of that bucket are copied to just these
+    parts, and the part joins the key. Buckets are counted first; all others stay in one part and are
+    not copied. Without it, adaptive execution splits a hot key on either side.
     """
     if how in ("semi", "anti"):
         flagged = within_days_flag(left, right, on, left_date, right_date, days, "__matched")
@@ -117,16 +146,32 @@ def within_days_join(
     )
     start = F.to_date(left_date)
     placed = left.withColumn("__own", _bucket(start, width))
-    at, other = F.to_date(placed[left_date]), F.to_date(spread[right_date])
-    match = _equal(
-        placed,
-        spread,
-        on,
-        placed["__own"] == spread["__bucket"],
-        other.between(at, F.date_add(at, days)),
-    )
-    return placed.join(spread, match, how).select(
-        *[placed[c] for c in left.columns], *[spread[c] for c in extra]
+    cut = []
+    if most_rows is not None:
+        if how == "left":
+            # copies of a left row without a match would all stay, so these rows are found apart
+            paired = within_days_join(left, right, on, left_date, right_date, days, "inner", most_rows)
+            alone = within_days_join(left, right, on, left_date, right_date, days, "anti")
+            return paired.unionByName(alone, allowMissingColumns=True)
+        places = [*[f"__{k}" for k in on], "__bucket"]
+        splits = _splits(spread, places, most_rows)
+        spread = _with_splits(spread, splits, places)
+        part = F.pmod(F.xxhash64(*extra), F.col("__n"))
+        spread = spread.withColumn("__part", part).drop("__n")
+        renamed = splits.select(*[F.col(p).alias(k) for p, k in zip(places, [*on, "__own"])], "__n")
+        placed = _with_splits(placed, renamed, [*on, "__own"])
+        placed = placed.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+        cut = [F.col("__copy") == F.col("__part")]
+    spread = spread.withColumnRenamed(right_date, "__date")
+    at, other = F.to_date(left_date), F.to_date("__date")
+    theirs = [F.col(f"__{k}") for k in on]
+    # the right side may come aggregated by its keys
+    same = key_hash(*[F.col(k) for k in on], F.col("__own")) == key_hash(*theirs, F.col("__bucket"))
+    match = [F.col(k) == t for k, t in zip(on, theirs)]
+    match += [F.col("__own") == F.col("__bucket"), same, *cut, other.between(at, F.date_add(at, days))]
+    joined = placed.join(spread, reduce(lambda x, y: x & y, match), how)
+    return joined.select(
+        *left.columns, *[F.col("__date" if c == right_date else c).alias(c) for c in extra]
     )
 
 
@@ -189,6 +234,7 @@ def valid_at_join(
     how: str = "left",
     bucket_days: int | None = None,
     date_range: tuple[dt.date | Column, dt.date | Column] | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Attach the lookup row valid on the fact's date, both ends included.
 
@@ -196,8 +242,12 @@ def valid_at_join(
     :func:`date_span` gives; a wider span is harmless), drops lookup rows not valid in it; without
     it, buckets need a pass over the facts. ``bucket_days`` is for keys with very many validity rows: the rows are repeated for
     each bucket they cover within the facts' span, and the bucket joins the key, so a fact
-    only meets the rows of its own bucket.
+    only meets the rows of its own bucket. ``chunk_rows`` does so by measure: only a key with more facts than that
+    is cut, at dates that give it about as many in each chunk, and a lookup row is carried into the chunks it
+    is open in. Rows are then repeated by the number of facts, never by the length of their validity.
     """
+    if chunk_rows is not None:
+        return _chunked_valid_at(facts, dim, on, at, valid_from, valid_to, take, how, date_range, chunk_rows)
     starts, ends = F.col(valid_from), F.col(valid_to)
     if date_range:
         date_range = tuple(d if isinstance(d, Column) else F.lit(d) for d in date_range)
@@ -231,6 +281,43 @@ def valid_at_join(
     ).drop("__own")
 
 
+def chunk_starts(facts: DataFrame, keys: Sequence[str], at: str, chunk_rows: int) -> DataFrame:
+    """(keys, __starts): the first dates of a key's second and later chunks, for keys with over ``chunk_rows`` facts.
+
+    A chunk holds about ``chunk_rows`` facts, more where a single day does. Facts are counted per key and day in the map
+    tasks, so the running sum meets at most a row per key and day.
+    """
+    days = facts.groupBy(*keys, F.to_date(at).alias("__day")).agg(F.count(F.lit(1)).alias("__facts"))
+    order = W.partitionBy(*keys).orderBy("__day")
+    before = F.sum("__facts").over(order) - F.col("__facts")
+    days = days.filter(F.col("__day").isNotNull()).withColumn("__chunk", F.floor(before / F.lit(chunk_rows)))
+    starts = days.groupBy(*keys, "__chunk").agg(F.min("__day").alias("__start"))
+    later = starts.filter(F.col("__chunk") > 0).groupBy(*keys)
+    return later.agg(F.array_sort(F.collect_list("__start")).alias("__starts"))
+
+
+def _chunked_valid_at(facts, dim, on, at, valid_from, valid_to, take, how, date_range, chunk_rows) -> DataFrame:
+    starts, ends = F.to_date(valid_from), F.to_date(valid_to)
+    dim = dim.filter(starts.isNotNull() & ends.isNotNull() & (starts <= ends))
+    if date_range:
+        lo, hi = (d if isinstance(d, Column) else F.lit(d) for d in date_range)
+        dim = dim.filter((F.col(valid_from) <= hi) & (F.col(valid_to) >= lo))
+    cuts = chunk_starts(facts, list(on), at, chunk_rows)
+
+    def chunk(day: Column) -> Column:
+        """How many later chunks have begun by the day; 0 for keys that are not cut."""
+        return F.coalesce(F.size(F.filter("__starts", lambda s: s <= day)), F.lit(0))
+
+    placed = enrich(facts, [DimJoin(cuts, {k: k for k in on}, {"__starts": "__starts"}, split=True)])
+    placed = placed.withColumn("__own", F.when(F.col("__starts").isNull(), 0).otherwise(chunk(F.to_date(at))))
+    known = enrich(dim, [DimJoin(cuts, dict(zip(on.values(), on)), {"__starts": "__starts"}, split=True)])
+    cut = F.col("__starts").isNotNull()
+    first, last = (F.when(cut, chunk(d)).otherwise(0) for d in (starts, ends))
+    known = known.withColumn("__chunk", F.explode(F.sequence(first, last)))
+    lookup = DimJoin(known, {**on, "__own": "__chunk"}, take, how, valid=(at, valid_from, valid_to))
+    return enrich(placed, [lookup]).drop("__own", "__starts")
+
+
 def open_interval_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -244,6 +331,7 @@ def open_interval_join(
     how: str = "left",
     bucket_days: int | None = None,
     date_range: tuple[dt.date | Column, dt.date | Column] | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """``valid_at_join`` over intervals whose open ends fall back to other columns."""
     closed = dim.withColumns(
@@ -253,7 +341,7 @@ def open_interval_join(
         }
     )
     return valid_at_join(
-        facts, closed, on, at, "__from", "__until", take, how, bucket_days, date_range
+        facts, closed, on, at, "__from", "__until", take, how, bucket_days, date_range, chunk_rows
     )
 
 

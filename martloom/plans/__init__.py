@@ -1,6 +1,6 @@
 """The thirteen reports, each a composition of operators over its input tables."""
 
-from .banking import account_open_events, early_repayment_events, load_account_day
+from .banking import account_open_events, early_repayment_events, load_account_day, read_account_feed
 from .inventory import cost_gap_fill, fee_changes, inventory_aging_value, restock_signal
 from .lifecycle import Market, newly_profitable
 from .marketing import ad_efficiency
@@ -19,6 +19,7 @@ __all__ = [
     "fee_changes",
     "inventory_aging_value",
     "load_account_day",
+    "read_account_feed",
     "merged_tickets",
     "monthly_pnl",
     "newly_profitable",

@@ -17,7 +17,7 @@ from ..operators.dedup import latest_per_key
 from ..operators.events import event_row
 from ..operators.intervals import change_intervals, date_span, open_interval_join, valid_at_join
 from ..operators.joins import DimJoin, enrich
-from ..sources import event_day, write_table
+from ..sources import event_day, publish, read_published
 
 # Fixed values of the account-opening feed.
 SOURCES = ("3C", "NOM")
@@ -271,18 +271,24 @@ def load_account_day(
     t: Mapping[str, DataFrame],
     day: dt.date,
     target: str,
-    as_path: bool = False,
     groups: Sequence[int] = ACCOUNT_GROUPS,
     first_day: dt.date = FIRST_DAY,
 ) -> None:
-    """Load one day of the account feed into its table; the other days stay as they are.
+    """Load one day of the account feed into its folder; the other days stay as they are.
 
-    The table is partitioned by the day, so a rerun replaces that day alone. A day without events
-    leaves the table unchanged.
+    Readers see the day before or after the load, never half of it. A rerun replaces the day alone, and empties it
+    if there are no events any more. ``read_account_feed`` reads the folder.
     """
     events = account_open_events(t, day, groups, first_day)
-    events = events.withColumn("load_day", F.to_date("OPERATION_START_DTTM"))
-    write_table(events, target, ["load_day"], touched_only=True, as_path=as_path)
+    publish(events, target, F.to_date("OPERATION_START_DTTM"), replaces=[day])
+
+
+def read_account_feed(
+    t: Mapping[str, DataFrame], target: str, days: Sequence[dt.date] | None = None
+) -> DataFrame:
+    """The loaded days of the account feed, or just ``days``, with the feed's own columns."""
+    schema = account_open_events(t, day=FIRST_DAY).schema
+    return read_published(next(iter(t.values())).sparkSession, target, schema, days)
 
 
 def migration_periods(links: DataFrame, migrations: DataFrame) -> DataFrame:

@@ -8,7 +8,12 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import account_open_events, early_repayment_events, load_account_day
+from ..plans import (
+    account_open_events,
+    early_repayment_events,
+    load_account_day,
+    read_account_feed,
+)
 from ..session import fresh_path
 from ..sources import load
 from .base import LI, ORD, lines, orders, query
@@ -221,10 +226,8 @@ def _(spark, sf):
     """Two daily loads, one of them run twice, and the table read back."""
     path, tables = fresh_path(spark, "account_feed"), account_tables(spark, sf)
     for day in (dt.date(1998, 12, 8), dt.date(1998, 12, 9), dt.date(1998, 12, 8)):
-        load_account_day(tables, day, path, as_path=True, groups=GROUPS)
-    # the schema is given, as days without events leave the folder without files
-    schema = account_open_events(tables, day=day, groups=GROUPS).schema
-    return spark.read.schema(schema).parquet(path)
+        load_account_day(tables, day, path, groups=GROUPS)
+    return read_account_feed(tables, path)
 
 
 def repayment_tables(spark, sf) -> dict[str, DataFrame]:

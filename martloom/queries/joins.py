@@ -145,15 +145,14 @@ def _(spark, sf):
     return spine_join(spine, components, ["l_partkey", "year_", "month_"])
 
 
-@query(
-    "within_days_join",
-    f"""WITH {LI}, rec AS (SELECT l_partkey, ship AS approved, count(*) AS records, sum(qty)::BIGINT AS units
+_WITHIN_SQL = f"""WITH {LI}, rec AS (SELECT l_partkey, ship AS approved, count(*) AS records, sum(qty)::BIGINT AS units
           FROM li WHERE l_returnflag = 'A' GROUP BY ALL)
         SELECT li.l_orderkey, li.l_partkey, li.l_linenumber, li.ship, approved, records, units
         FROM li JOIN rec ON li.l_partkey = rec.l_partkey AND date_diff('day', ship, approved) BETWEEN 0 AND 30
-        WHERE l_returnflag = 'R'""",
-)
-def _(spark, sf):
+        WHERE l_returnflag = 'R'"""
+
+
+def _returns_and_records(spark, sf):
     """Records are counted per part and day first, so an event meets at most 31 rows."""
     rows = lines(spark, sf)
     records = (
@@ -164,7 +163,20 @@ def _(spark, sf):
     events_ = rows.filter(F.col("l_returnflag") == "R").select(
         "l_orderkey", "l_partkey", "l_linenumber", "ship"
     )
-    return within_days_join(events_, records, ["l_partkey"], "ship", "approved", 30)
+    return events_, records
+
+
+@query("within_days_join", _WITHIN_SQL)
+def _(spark, sf):
+    return within_days_join(*_returns_and_records(spark, sf), ["l_partkey"], "ship", "approved", 30)
+
+
+@query("within_days_join_split", _WITHIN_SQL)
+def _(spark, sf):
+    """Parts with more than three record days in a bucket are cut."""
+    return within_days_join(
+        *_returns_and_records(spark, sf), ["l_partkey"], "ship", "approved", 30, most_rows=3
+    )
 
 
 @query(
@@ -251,15 +263,13 @@ def _(spark, sf):
     return found.select("p_partkey", "p_brand")
 
 
-@query(
-    "valid_at_join",
-    f"""WITH {LI}, dim AS (SELECT l_partkey AS pk, date_trunc('month', ship)::DATE AS f, last_day(ship) AS t,
+_VALID_SQL = f"""WITH {LI}, dim AS (SELECT l_partkey AS pk, date_trunc('month', ship)::DATE AS f, last_day(ship) AS t,
           min(l_suppkey) AS supplier FROM li WHERE l_returnflag = 'N' GROUP BY ALL)
         SELECT l_orderkey, l_partkey, l_linenumber, ship, supplier FROM li
-        LEFT JOIN dim ON l_partkey = pk AND ship BETWEEN f AND t""",
-)
-def _(spark, sf):
-    """Buckets keep a part with very many validity rows from meeting all of them per line."""
+        LEFT JOIN dim ON l_partkey = pk AND ship BETWEEN f AND t"""
+
+
+def _supplier_at(spark, sf, **how):
     rows = lines(spark, sf)
     dim = (
         rows.filter(F.col("l_returnflag") == "N")
@@ -279,19 +289,30 @@ def _(spark, sf):
         "valid_from",
         "valid_to",
         {"supplier": "supplier"},
-        bucket_days=31,
+        **how,
     )
 
 
-@query(
-    "open_interval_join",
-    f"""WITH {ORD}, ch AS (SELECT DISTINCT o_custkey AS ck, odate AS until FROM ord WHERE o_orderpriority = '1-URGENT'
+@query("valid_at_join", _VALID_SQL)
+def _(spark, sf):
+    """Buckets keep a part with very many validity rows from meeting all of them per line."""
+    return _supplier_at(spark, sf, bucket_days=31)
+
+
+@query("valid_at_join_chunked", _VALID_SQL)
+def _(spark, sf):
+    """Parts with more than eight lines are cut at dates that give each chunk about as many."""
+    return _supplier_at(spark, sf, chunk_rows=8)
+
+
+_OPEN_SQL = f"""WITH {ORD}, ch AS (SELECT DISTINCT o_custkey AS ck, odate AS until FROM ord WHERE o_orderpriority = '1-URGENT'
           UNION ALL SELECT c_custkey, NULL FROM customer),
         iv AS (SELECT ck, until, lag(until) OVER (PARTITION BY ck ORDER BY until NULLS LAST) + 1 AS start FROM ch)
         SELECT o_orderkey, o_custkey, odate, until AS period_end FROM ord LEFT JOIN iv ON o_custkey = ck
-          AND odate >= coalesce(start, DATE '1990-01-01') AND odate <= coalesce(until, DATE '2099-12-31')""",
-)
-def _(spark, sf):
+          AND odate >= coalesce(start, DATE '1990-01-01') AND odate <= coalesce(until, DATE '2099-12-31')"""
+
+
+def _periods_at(spark, sf, **how):
     ord_ = orders(spark, sf)
     moved = (
         ord_.filter(F.col("o_orderpriority") == "1-URGENT")
@@ -317,10 +338,20 @@ def _(spark, sf):
         "migration_date",
         "dt_end",
         {"period_end": "migration_date"},
-        bucket_days=366,
+        **how,
     )
 
 
+@query("open_interval_join", _OPEN_SQL)
+def _(spark, sf):
+    return _periods_at(spark, sf, bucket_days=366)
+
+
+@query("open_interval_join_chunked", _OPEN_SQL)
+def _(spark, sf):
+    return _periods_at(spark, sf, chunk_rows=5)
+
+
 def claims(spark, sf) -> DataFrame:
     """Finished orders as claims; their returned lines as reversals, some without article."""
     ord_, rows = orders(spark, sf), lines(spark, sf)

@@ -1,5 +1,6 @@
 """Reading, slicing and writing tables."""
 
+from .publish import publish, published_parts, read_published, vacuum
 from .tables import (
     event_day,
     latest_snapshot,
@@ -18,8 +19,12 @@ __all__ = [
     "load",
     "month_range",
     "months_slice",
+    "publish",
+    "published_parts",
+    "read_published",
     "read_remote",
     "trailing_days",
+    "vacuum",
     "window_to_max",
     "write_table",
 ]

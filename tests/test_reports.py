@@ -17,6 +17,7 @@ from martloom.plans import (
     fee_changes,
     inventory_aging_value,
     load_account_day,
+    read_account_feed,
     merged_tickets,
     monthly_pnl,
     newly_profitable,
@@ -643,12 +644,17 @@ def test_first_day_holds_for_single_days_too(bank):
 
 def test_a_day_is_loaded_alone(spark, bank, tmp_path):
     path = str(tmp_path / "feed")
+    assert read_account_feed(bank, path).count() == 0
     for _ in range(2):
-        load_account_day(bank, DAY, path, as_path=True)
-    once = account_open_events(bank, day=DAY).count()
-    assert spark.read.parquet(path).count() == once
-    load_account_day(bank, DAY + dt.timedelta(days=1), path, as_path=True)
-    assert spark.read.parquet(path).filter(F.col("load_day") == DAY).count() == once
+        load_account_day(bank, DAY, path)
+    report = account_open_events(bank, day=DAY)
+    loaded = read_account_feed(bank, path)
+    assert loaded.columns == report.columns and rows(loaded) == rows(report) != []
+    load_account_day(bank, DAY + dt.timedelta(days=1), path)
+    assert rows(read_account_feed(bank, path, [DAY])) == rows(report)
+    # a day whose deals are gone is emptied by its rerun, not left as it was
+    load_account_day(bank | {"deals": bank["deals"].limit(0)}, DAY, path)
+    assert read_account_feed(bank, path, [DAY]).count() == 0
 
 
 def test_early_repayment_events(frame, bank):
