@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .calendar import date_spine
 
 
-def _spread(df: DataFrame, date: str, days: int) -> DataFrame:
+def spread_days(df: DataFrame, date: str, days: int) -> DataFrame:
     """Copy each row to the ``days`` window dates its own date belongs to."""
     dates = F.sequence(F.col(date), F.date_add(F.col(date), days - 1))
     return df.withColumn(date, F.explode(dates))
@@ -94,7 +94,7 @@ def rolling_distinct(
         ids = F.struct(*[F.col(c) for c in id_cols], F.col("__day"))
         known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in id_cols])
         out = (
-            _spread(copies.withColumn("__day", F.col(date)), date, days)
+            spread_days(copies.withColumn("__day", F.col(date)), date, days)
             .groupBy(date)
             .agg(
                 F.count_distinct(F.when(known, ids)).alias(name),
@@ -108,7 +108,7 @@ def rolling_distinct(
     daily = daily_distinct(df, date, id_cols, name, categories, category_col)
     daily = daily.filter(F.col(date).isNotNull())
     if method == "daily":
-        out = _spread(daily, date, days).groupBy(date).agg(*[F.sum(c).alias(c) for c in counts])
+        out = spread_days(daily, date, days).groupBy(date).agg(*[F.sum(c).alias(c) for c in counts])
         return _clip(out, date, start, end)
     if method == "spine":
         spine = date_spine(daily, date, extend_days=days - 1)
@@ -123,12 +123,40 @@ def rolling_distinct(
     raise ValueError(f"unknown method: {method}")
 
 
+def category_sketches(
+    df: DataFrame,
+    date: str,
+    id_col: str,
+    categories: Mapping[str, object],
+    category_col: str,
+    lg_entries: int = 14,
+) -> DataFrame:
+    """One theta sketch of ids per day and category, a column each.
+
+    Theta sketches of days or categories can be united and intersected, which the others cannot; an error of about
+    0.8 % at the default size, none while a sketch holds fewer ids than 2^lg_entries.
+    """
+    marks = [
+        F.theta_sketch_agg(F.when(F.col(category_col) == F.lit(v), F.col(id_col)), lg_entries).alias(out)
+        for out, v in categories.items()
+    ]
+    return df.filter(F.col(date).isNotNull()).groupBy(date).agg(*marks)
+
+
+def roll_categories(
+    daily: DataFrame, date: str, names: Sequence[str], days: int, lg_entries: int = 14
+) -> DataFrame:
+    """Theta sketches of the trailing ``days`` days, united from one row of sketches per day."""
+    wide = spread_days(daily.select(date, *names), date, days).groupBy(date)
+    return wide.agg(*[F.theta_union_agg(n, lg_entries).alias(n) for n in names])
+
+
 def roll_sketches(
     daily: DataFrame, date: str, sketch: str, days: int, name: str = "users"
 ) -> DataFrame:
     """Distinct ids of the trailing ``days`` days from one sketch per day."""
     return (
-        _spread(daily, date, days)
+        spread_days(daily, date, days)
         .groupBy(date)
         .agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(name))
     )

@@ -5,6 +5,7 @@ from .inventory import cost_gap_fill, fee_changes, inventory_aging_value, restoc
 from .lifecycle import Market, newly_profitable
 from .marketing import ad_efficiency
 from .pnl import monthly_pnl
+from .pnl_store import read_pnl, refresh_pnl
 from .reimbursements import destroyed_unreimbursed, reimbursement_net
 from .support import contact_rate_by_category, merged_tickets, tickets_monthly_pivot
 
@@ -19,10 +20,12 @@ __all__ = [
     "fee_changes",
     "inventory_aging_value",
     "load_account_day",
-    "read_account_feed",
     "merged_tickets",
     "monthly_pnl",
     "newly_profitable",
+    "read_account_feed",
+    "read_pnl",
+    "refresh_pnl",
     "reimbursement_net",
     "restock_signal",
     "tickets_monthly_pivot",

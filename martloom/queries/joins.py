@@ -25,7 +25,8 @@ from ..operators.joins import (
     reversal_join,
     spine_join,
 )
-from ..sources import load
+from ..session import fresh_path
+from ..sources import bucket_together, load
 from .base import EV, LI, ORD, events, lines, orders, query
 
 YEARS = range(1995, 2002)
@@ -63,18 +64,17 @@ def _(spark, sf):
     )
 
 
-@query(
-    "three_way_inner",
-    f"""WITH {LI}, {ORD},
+_THREE_SQL = f"""WITH {LI}, {ORD},
       d AS (SELECT DISTINCT l_orderkey AS order_id, l_partkey AS sku, odate FROM li JOIN ord ON l_orderkey = o_orderkey),
       q AS (SELECT l_orderkey AS order_id, l_partkey AS sku, sum(qty)::BIGINT AS units FROM li
             WHERE l_returnflag <> 'A' GROUP BY ALL),
       f AS (SELECT l_orderkey AS order_id, l_partkey AS sku, CAST(sum(round(price * disc, 2)) AS DOUBLE) AS fee FROM li
             WHERE l_linestatus = 'F' GROUP BY ALL)
       SELECT d.order_id, d.sku, d.odate, q.units, f.fee FROM d
-      JOIN q ON d.order_id = q.order_id AND d.sku = q.sku JOIN f ON d.order_id = f.order_id AND d.sku = f.sku""",
-)
-def _(spark, sf):
+      JOIN q ON d.order_id = q.order_id AND d.sku = q.sku JOIN f ON d.order_id = f.order_id AND d.sku = f.sku"""
+
+
+def _order_facts(spark, sf):
     key = [F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku")]
     rows = lines(spark, sf)
     dates = (
@@ -87,7 +87,24 @@ def _(spark, sf):
     )
     fee = F.round(F.col("price") * F.col("disc"), 2)
     fees = rows.filter(F.col("l_linestatus") == "F").groupBy(*key).agg(F.sum(fee).alias("fee"))
-    return dates.join(units, ["order_id", "sku"]).join(fees, ["order_id", "sku"])
+    return {"dates": dates, "units": units, "fees": fees}
+
+
+def _three_way(facts):
+    return facts["dates"].join(facts["units"], ["order_id", "sku"]).join(facts["fees"], ["order_id", "sku"])
+
+
+@query("three_way_inner", _THREE_SQL)
+def _(spark, sf):
+    return _three_way(_order_facts(spark, sf))
+
+
+@query("three_way_bucketed", _THREE_SQL)
+def _(spark, sf):
+    """The same over tables that were laid out by the key, without a shuffle."""
+    path = fresh_path(spark, "order_facts")
+    prefix = path.rsplit("/", 1)[1].replace("-", "_")
+    return _three_way(bucket_together(_order_facts(spark, sf), prefix, ["order_id", "sku"], 8, path))
 
 
 def _months(df: DataFrame, date: str, measures) -> DataFrame:

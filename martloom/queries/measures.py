@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import rate_per, safe_div
 from ..operators.aggregates import ad_profit, aging_value, avg_of_ratio, sum_groups
 from ..operators.dedup import argmax_latest
 from ..operators.pivots import pivot_count_distinct, transpose_sum
-from ..operators.rolling import daily_distinct, rolling_distinct, rolling_users
+from ..operators.rolling import (
+    category_sketches,
+    daily_distinct,
+    roll_categories,
+    rolling_distinct,
+    rolling_users,
+    spread_days,
+)
 from ..operators.aggregates import approx_distinct
 from ..plans.support import month_columns
 from ..sources import load, window_to_max
@@ -94,6 +103,42 @@ def _(spark, sf):
     )
 
 
+# The kinds of events.
+_KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+@query(
+    "approx_category_users",
+    f"""WITH {EV}, w AS (SELECT CAST(d AS DATE) AS day FROM (
+          SELECT unnest(generate_series(min(day), max(day) + 6, INTERVAL 1 DAY)) AS d FROM ev))
+        SELECT w.day, {", ".join(f"count(DISTINCT CASE WHEN event_type = '{k}' THEN user_id END) AS {k}s" for k in _KINDS)},
+          count(DISTINCT CASE WHEN event_type = 'click' AND EXISTS (SELECT 1 FROM ev p WHERE p.event_type = 'purchase'
+            AND p.user_id = ev.user_id AND p.day BETWEEN w.day - 6 AND w.day) THEN user_id END) AS click_and_purchase,
+          TRUE AS close FROM w JOIN ev ON ev.day BETWEEN w.day - 6 AND w.day GROUP BY w.day""",
+)
+def _(spark, sf):
+    """Users of each kind in the trailing week, exactly, and whether daily theta sketches come within 2 per cent."""
+    ev, size = events(spark, sf), 16
+    names = {f"{k}s": k for k in _KINDS}
+    daily = category_sketches(ev, "day", "user_id", names, "event_type", size)
+    weekly = roll_categories(daily, "day", list(names), 7, size)
+    both = F.theta_sketch_estimate(F.theta_intersection("clicks", "purchases"))
+    guess = weekly.select(
+        "day", *[F.theta_sketch_estimate(n).alias(f"{n}_guess") for n in names], both.alias("click_and_purchase_guess")
+    )
+    seen = spread_days(ev.select("day", "user_id", "event_type").distinct(), "day", 7)
+    kinds = seen.groupBy("day", "user_id").agg(
+        *[F.max(F.when(F.col("event_type") == k, 1).otherwise(0)).alias(n) for n, k in names.items()]
+    )
+    exact = kinds.groupBy("day").agg(
+        *[F.sum(n).alias(n) for n in names], F.sum(F.col("clicks") * F.col("purchases")).alias("click_and_purchase")
+    )
+    counts = [*names, "click_and_purchase"]
+    near = [F.abs(F.col(f"{n}_guess") - F.col(n)) <= 0.02 * F.col(n) for n in counts]
+    close = reduce(lambda a, b: a & b, near)
+    return exact.join(guess, "day").select("day", *[F.col(n).cast("bigint").alias(n) for n in counts], close.alias("close"))
+
+
 @query(
     "rolling_users_exact",
     f"""WITH {EV} SELECT w.day, count(DISTINCT user_id) AS users FROM (SELECT DISTINCT CAST(d AS DATE) AS day FROM (

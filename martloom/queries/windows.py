@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import partition_total
 from ..operators.calendar import calendar_spine, date_spine
+from ..operators.daily_store import DailyStore
 from ..operators.dedup import latest_per_key, row_sequence
 from ..operators.intervals import change_intervals
 from ..operators.rolling import rolling_distinct
 from ..operators.series import nearest_fill, neighbour_values, period_delta
+from ..session import fresh_path
 from ..sources import load
 from .base import EV, LI, ORD, events, lines, orders, query
 
@@ -181,6 +185,23 @@ for _name, _method in (
     query(_name, _ROLLING)(_rolling(_method))
 
 
+@query("rolling_daily_store", _ROLLING)
+def _(spark, sf):
+    """The first two weeks are loaded with half of a day missing, then the rest, then that day's late half."""
+    ev = events(spark, sf)
+    span = ev.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    every = [span["first"] + dt.timedelta(days=i) for i in range((span["last"] - span["first"]).days + 1)]
+    late = every[8]
+    store = DailyStore(
+        fresh_path(spark, "daily_store"), "day", ["user_id"], 7, categories={"clicks": "click", "errors": "error"},
+        category_col="event_type",
+    )
+    store.refresh(ev.filter((F.col("day") != F.lit(late)) | (F.col("user_id") % 2 == 0)), every[:14])
+    store.refresh(ev, every[14:])
+    store.refresh(ev, [late])
+    return store.windows(spark)
+
+
 @query(
     "date_spine",
     f"""WITH {LI} SELECT CAST(unnest(generate_series(min(ship), max(ship) + 6, INTERVAL 1 DAY)) AS DATE) AS ship FROM li""",

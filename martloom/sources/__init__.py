@@ -1,5 +1,6 @@
 """Reading, slicing and writing tables."""
 
+from .bucketed import bucket_together, write_bucketed
 from .publish import publish, published_parts, read_published, vacuum
 from .tables import (
     event_day,
@@ -14,6 +15,7 @@ from .tables import (
 )
 
 __all__ = [
+    "bucket_together",
     "event_day",
     "latest_snapshot",
     "load",
@@ -26,5 +28,6 @@ __all__ = [
     "trailing_days",
     "vacuum",
     "window_to_max",
+    "write_bucketed",
     "write_table",
 ]

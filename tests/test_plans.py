@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,9 +13,11 @@ from martloom.operators.dedup import latest_per_key
 from martloom.operators.intervals import anti_within_days, valid_at_join, within_days_flag
 from martloom.operators.joins import DimJoin, enrich, exists_in
 from martloom.operators.pivots import transpose_sum
-from martloom.plans import cost_gap_fill
+from martloom.plans import cost_gap_fill, monthly_pnl
+from martloom.plans.pnl import payment_lines, refund_lines
 from martloom.queries import QUERIES
-from martloom.sources import event_day, latest_snapshot, load, trailing_days, window_to_max
+from martloom.queries.commerce_reports import pnl_tables
+from martloom.sources import bucket_together, event_day, latest_snapshot, load, trailing_days, window_to_max
 
 # One row per calendar day: an unpartitioned window over these stays tiny.
 DAILY_WINDOWS = {"approx_distinct_daily", "rolling_spine", "rolling_users_exact"}
@@ -88,6 +91,26 @@ def test_transpose_shuffles_once(spark, sf_dir):
     assert plan(wide).count("Exchange") == 1
 
 
+def test_bucketed_order_facts_join_without_a_shuffle(no_broadcast, sf_dir):
+    text = plan(QUERIES["three_way_bucketed"](no_broadcast, sf_dir))
+    assert text.count("SortMergeJoin") == 2 and "Exchange" not in text
+    assert plan(QUERIES["three_way_inner"](no_broadcast, sf_dir)).count("Exchange") >= 3
+
+
+def test_bucketed_orders_reach_the_profit_and_loss(no_broadcast, sf_dir, tmp_path):
+    """Payments and refunds of the report join their order inputs without a shuffle below the sums per sku."""
+    t = pnl_tables(no_broadcast, sf_dir)
+    names = ("order_dates", "order_quantities", "order_fees", "refund_dates", "refund_fees")
+    laid = bucket_together({n: t[n] for n in names}, f"pnl_{uuid.uuid4().hex}", ["order_id", "sku"], 8, str(tmp_path))
+    lines = payment_lines(laid["order_dates"], laid["order_quantities"], laid["order_fees"])
+    back = refund_lines(laid["refund_dates"], laid["refund_fees"])
+    assert "Exchange" not in plan(lines) and "Exchange" not in plan(back)
+    whole = monthly_pnl(**(t | laid), years=range(1996, 1998))
+    assert plan(whole).count("Exchange") < plan(monthly_pnl(**t, years=range(1996, 1998))).count("Exchange")
+    old = payment_lines(t["order_dates"], t["order_quantities"], t["order_fees"])
+    assert lines.exceptAll(old).count() == old.exceptAll(lines).count() == 0 < lines.count()
+
+
 def test_existence_in_range_never_pairs(no_broadcast, sf_dir):
     lines = load(no_broadcast, sf_dir, "lineitem")
     flagged = within_days_flag(lines, lines, ["l_partkey"], "l_shipdate", "l_shipdate", 30)
