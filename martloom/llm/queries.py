@@ -71,15 +71,30 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _level_sql(rows: str, weight: str, order: str) -> str:
+    """c_<rows>: the factor that keeps 0.8 of all tokens if no row keeps more than it has, from rows in order of rate."""
+    return f"""f_{rows} as (
+  select *, (0.8 * sum(tokens) over () - coalesce(sum(tokens) over before, 0))
+            / (sum({weight}) over () - coalesce(sum({weight}) over before, 0)) as c
+  from {rows}
+  window before as (order by {weight} / tokens desc, {order} rows between unbounded preceding and 1 preceding)),
+c_{rows} as (select max(c) filter (c * {weight} / tokens < 1) as c from f_{rows})"""
+
+
 def _mix_sql(rounds: int = 12) -> str:
-    """The same raking, one common table per step; the factor from the cells in order of rate."""
+    """The same bounded raking, one common table per step."""
     steps, last = [], "goals"
     for i in range(3 * rounds):
         k = i % 3
-        steps.append(f"r{i} as (select * replace (w * g{k} / sum(w) over (partition by k{k}) as w) from {last})")
+        steps.append(
+            f"r{i} as (select * replace (least(cast(tokens as double), w * g{k} / sum(w) over (partition by k{k})) as w) from {last})"
+        )
         last = f"r{i}"
     goal = [
-        f"m{k} as (select k{k}, pow(cast(sum(tokens) as double), 0.7) as r from cells group by k{k})" for k in range(3)
+        f"""m{k} as (select k{k}, sum(tokens) as tokens, pow(cast(sum(tokens) as double), 0.7) as r from cells group by k{k}),
+{_level_sql(f"m{k}", "r", f"k{k}")},
+t{k} as (select k{k}, least(cast(tokens as double), c * r) as g from m{k}, c_m{k})"""
+        for k in range(3)
     ]
     return rf"""
 with d as (
@@ -88,26 +103,18 @@ with d as (
               when contains(t, '@') then 'contact'
               when contains(t, '***') or contains(t, '$$$') or contains(t, '!!') then 'noisy'
               else 'prose' end as k2,
-         len(regexp_extract_all(t, '[^ 	-
-]+')) as tokens
+         len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) as tokens
   from (select *, coalesce(text, '') as t from documents)),
 cells as (select k0, k1, k2, sum(tokens) as tokens from d group by all having sum(tokens) > 0),
 {", ".join(goal)},
 goals as (
-  select c.k0, c.k1, c.k2, c.tokens, cast(c.tokens as double) as w,
-         m0.r / (select sum(r) from m0) as g0, m1.r / (select sum(r) from m1) as g1,
-         m2.r / (select sum(r) from m2) as g2
-  from cells c join m0 on c.k0 is not distinct from m0.k0 join m1 on c.k1 is not distinct from m1.k1
-       join m2 on c.k2 is not distinct from m2.k2),
+  select c.k0, c.k1, c.k2, c.tokens, c.tokens * 0.8 as w, t0.g as g0, t1.g as g1, t2.g as g2
+  from cells c join t0 on c.k0 is not distinct from t0.k0 join t1 on c.k1 is not distinct from t1.k1
+       join t2 on c.k2 is not distinct from t2.k2),
 {", ".join(steps)},
-f as (
-  select *, (0.8 * sum(tokens) over () - coalesce(sum(tokens) over before, 0))
-            / (sum(w) over () - coalesce(sum(w) over before, 0)) as c
-  from {last}
-  window before as (order by w / tokens desc, k0, k1, k2 rows between unbounded preceding and 1 preceding)),
-chosen as (select max(c) filter (c * w / tokens < 1) as c from f),
+{_level_sql(last, "w", "k0, k1, k2")},
 p as (
-  select k0, k1, k2, round(least(1.0, chosen.c * w / tokens), 9) as p from {last}, chosen)
+  select k0, k1, k2, round(least(1.0, c * w / tokens), 9) as p from {last}, c_{last})
 select doc_id, d.k0 as source, d.k1 as lang, d.k2 as topic, cast(d.tokens as bigint) as n_tokens,
        coalesce(p, 1.0) as probability,
        coalesce(p, 1.0) >= 1 or cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), 'null')), 1, 12) as bigint)
@@ -118,7 +125,7 @@ from d left join p on d.k0 is not distinct from p.k0 and d.k1 is not distinct fr
 
 @query("op4_mix_sources", _mix_sql())
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select(
+    return mix(table(spark, sf_dir, "documents"), bounded=True).select(
         "doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept"
     )
 
