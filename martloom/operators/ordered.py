@@ -71,3 +71,27 @@ def number_and_lag(
         added[seq] = F.row_number().over(w) - F.lit(1) + skipped
     out = both.withColumns(added).filter(~F.col(_HEAD))
     return out.select(*df.columns, *[name for name in added if name not in df.columns])
+
+
+def sort_by_known(
+    df: DataFrame, order: Sequence[str], known: DataFrame, partitions: int | None = None, sample: int = 20_000
+) -> DataFrame:
+    """``df`` sorted by ``order``, ascending, with the ranges taken from ``known`` values of the first column.
+
+    A global sort runs everything below it once more to sample its ranges. Where the values of the leading column are
+    known beforehand (the articles of a calendar), a hash sample of about ``sample`` of them gives the bounds instead, and
+    the rows are dealt to the ranges in one shuffle. Bounds only balance the work: values that are not known are sorted
+    like the others, and NULLs come last. Rows of one leading value stay together.
+    """
+    lead = order[0]
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = known.select(F.col(lead).alias("v")).filter(F.col("v").isNotNull()).distinct()
+    every = max(1, values.count() // sample)
+    some = sorted(r["v"] for r in values.filter(F.pmod(F.xxhash64("v"), F.lit(every)) == 0).collect())
+    bounds = sorted({some[len(some) * i // partitions] for i in range(1, partitions)}) if some else []
+    if bounds:
+        below = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(lead)))
+        place = F.when(F.col(lead).isNull(), len(bounds)).otherwise(below)
+    else:
+        place = F.lit(0)
+    return df.repartitionById(len(bounds) + 1, place.cast("int")).sortWithinPartitions(*sort_ascending(order))

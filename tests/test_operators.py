@@ -20,6 +20,7 @@ from martloom.operators.intervals import (
     within_days_join,
 )
 from martloom.operators.joins import DimJoin, assert_unique, enrich, spine_join
+from martloom.operators.ordered import sort_by_known
 from martloom.operators.pivots import transpose_sum
 from martloom.operators.rolling import rolling_distinct, rolling_users
 from martloom.operators.series import nearest_fill, neighbour_values, period_delta
@@ -333,3 +334,15 @@ def test_read_remote_asks_for_parallel_ranges():
     assert kwargs == {
         "column": "id", "lowerBound": 0, "upperBound": 100, "numPartitions": 4, "properties": {},
     }
+
+
+def test_sort_by_known_keys(spark):
+    rng = random.Random(12)
+    data = [(rng.choice([None, "zz", *[f"k{i}" for i in range(40)]]), rng.choice([None, *range(9)])) for _ in range(500)]
+    df = spark.createDataFrame(data, "k string, n int")
+    known = spark.createDataFrame([(f"k{i}",) for i in range(40)] + [(None,)], "k string")
+    want = sorted(data, key=lambda r: (r[0] is None, r[0] or "", r[1] is None, r[1] or 0))
+    for partitions, sample in ((1, 10), (7, 10), (7, 1000), (100, 1000)):
+        assert [tuple(r) for r in sort_by_known(df, ["k", "n"], known, partitions, sample).collect()] == want
+    assert [tuple(r) for r in sort_by_known(df, ["k", "n"], known.limit(0)).collect()] == want
+    assert sort_by_known(df.limit(0), ["k", "n"], known, 3).collect() == []

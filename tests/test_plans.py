@@ -111,6 +111,17 @@ def test_bucketed_orders_reach_the_profit_and_loss(no_broadcast, sf_dir, tmp_pat
     assert lines.exceptAll(old).count() == old.exceptAll(lines).count() == 0 < lines.count()
 
 
+def test_ordered_report_does_not_sample_its_joins(no_broadcast, sf_dir):
+    t = pnl_tables(no_broadcast, sf_dir)
+    plain = monthly_pnl(**t, years=range(1996, 1998))
+    report = monthly_pnl(**t, years=range(1996, 1998), ordered=True)
+    assert "rangepartitioning" not in plan(report) and plan(report).count("FileScan") == plan(plain).count("FileScan")
+    got = [tuple(r) for r in report.collect()]
+    assert [r[:3] for r in got] == sorted(r[:3] for r in got)
+    assert sorted(got) == sorted(tuple(r) for r in plain.collect())
+    assert report.rdd.getNumPartitions() > 1
+
+
 def test_existence_in_range_never_pairs(no_broadcast, sf_dir):
     lines = load(no_broadcast, sf_dir, "lineitem")
     flagged = within_days_flag(lines, lines, ["l_partkey"], "l_shipdate", "l_shipdate", 30)
