@@ -4,10 +4,12 @@ from .bucketed import bucket_together, write_bucketed
 from .publish import publish, published_parts, read_published, vacuum
 from .tables import (
     event_day,
+    footer_max,
     latest_snapshot,
     load,
     month_range,
     months_slice,
+    read_newest,
     read_remote,
     trailing_days,
     window_to_max,
@@ -17,12 +19,14 @@ from .tables import (
 __all__ = [
     "bucket_together",
     "event_day",
+    "footer_max",
     "latest_snapshot",
     "load",
     "month_range",
     "months_slice",
     "publish",
     "published_parts",
+    "read_newest",
     "read_published",
     "read_remote",
     "trailing_days",

@@ -51,6 +51,38 @@ def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
     return df.filter(F.col(date_col) == newest)
 
 
+def footer_max(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row, the greatest value of a column of a Parquet folder, planned from the file footers alone.
+
+    For numbers and dates, whose statistics are exact; of a timestamp or text column the values themselves are read. The
+    plan is made with the reader that can push the aggregate down; the session's own settings come back after.
+    """
+    conf, session = spark.conf, {"spark.sql.parquet.aggregatePushdown": "true"}
+    listed = conf.get("spark.sql.sources.useV1SourceList")
+    session["spark.sql.sources.useV1SourceList"] = ",".join(x for x in listed.split(",") if x.strip() != "parquet")
+    before = {k: conf.get(k) for k in session}
+    for k, v in session.items():
+        conf.set(k, v)
+    try:
+        newest = spark.read.parquet(path).agg(F.max(column).alias("newest"))
+        newest._jdf.queryExecution().executedPlan()  # planned while the settings hold
+        return newest
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
+
+
+def read_newest(spark: SparkSession, path: str, date_col: str) -> DataFrame:
+    """Rows of the newest snapshot of a Parquet folder, found without a scan of its own.
+
+    The footers give the newest date; as a constant it then prunes folders, files and row groups. An empty folder, and one whose
+    dates are all NULL, gives no rows.
+    """
+    newest = footer_max(spark, path, date_col).first()["newest"]
+    rows = spark.read.parquet(path)
+    return rows.filter(F.col(date_col) == F.lit(newest).cast(rows.schema[date_col].dataType))
+
+
 def window_to_max(
     df: DataFrame, date_col: str, days: int, inclusive_start: bool = False
 ) -> DataFrame:

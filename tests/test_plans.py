@@ -17,7 +17,16 @@ from martloom.plans import cost_gap_fill, monthly_pnl
 from martloom.plans.pnl import payment_lines, refund_lines
 from martloom.queries import QUERIES
 from martloom.queries.commerce_reports import pnl_tables
-from martloom.sources import bucket_together, event_day, latest_snapshot, load, trailing_days, window_to_max
+from martloom.sources import (
+    bucket_together,
+    event_day,
+    footer_max,
+    latest_snapshot,
+    load,
+    read_newest,
+    trailing_days,
+    window_to_max,
+)
 
 # One row per calendar day: an unpartitioned window over these stays tiny.
 DAILY_WINDOWS = {"approx_distinct_daily", "rolling_spine", "rolling_users_exact"}
@@ -80,6 +89,20 @@ def test_bounds_are_pushed(spark, sf_dir, name, column):
     assert re.search(rf"(GreaterThan|LessThan)\w*\({column},", pushed)
 
 
+def test_newest_date_comes_from_the_footers(spark, frame, tmp_path):
+    path, kept = str(tmp_path / "t"), spark.conf.get("spark.sql.sources.useV1SourceList")
+    days = [dt.date(2024, 1, 1 + i % 9) for i in range(90)] + [None]
+    frame("d date, v int", *[(d, i) for i, d in enumerate(days)]).repartition(4).write.parquet(path)
+    newest = footer_max(spark, path, "d")
+    assert re.search(r"PushedAggregation: \[MAX\(d\)\]", formatted(newest)), formatted(newest)
+    assert newest.first()["newest"] == dt.date(2024, 1, 9)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == kept
+    rows = read_newest(spark, path, "d")
+    assert rows.count() == 10 and "EqualTo(d,2024-01-09)" in plan(rows)
+    frame("d date, v int", (None, 1)).write.parquet(f"{path}-empty")
+    assert read_newest(spark, f"{path}-empty", "d").count() == 0
+
+
 def test_columns_are_pruned(spark, sf_dir):
     text = formatted(QUERIES["distinct_rows"](spark, sf_dir))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in text
