@@ -131,6 +131,8 @@ class Lattice:
         for i, w in enumerate(words):
             if len(w) < SHORT:
                 by_length[len(w) + 1].append(i)
+            else:
+                self._expected_long(MARK + w, counts[i], uses)
         for n, at in by_length.items():
             for lo in range(0, len(at), 4096):
                 part = at[lo : lo + 4096]
@@ -149,6 +151,29 @@ class Lattice:
         return uses
 
 
+    def _edges_to(self, word: str, i: int) -> Iterator[tuple[int, int, float]]:
+        """(start, piece, log probability) of the pieces that end at place ``i`` of a word, for one language."""
+        for k in range(1, min(i, self.longest) + 1):
+            p = self.number.get(word[i - k : i], self.none)
+            if p == self.none and k == 1:
+                p = self.strange
+            if self.prob[p, 0] > 0:
+                yield i - k, p, math.log(self.prob[p, 0])
+
+    def _expected_long(self, word: str, count: float, uses: np.ndarray) -> None:
+        """Add the expected uses in a word of any length, by sums of logarithms."""
+        n = len(word)
+        ahead, back = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+        ahead[0] = back[n] = 0.0
+        for i in range(1, n + 1):
+            for start, _, cost in self._edges_to(word, i):
+                ahead[i] = np.logaddexp(ahead[i], ahead[start] + cost)
+        for i in range(n, 0, -1):
+            for start, p, cost in self._edges_to(word, i):
+                uses[p] += count * math.exp(ahead[start] + cost + back[i] - ahead[n])
+                back[start] = np.logaddexp(back[start], back[i] + cost)
+
+
 def _word_counts(sample: DataFrame) -> DataFrame:
     """(lang, word, n) over the sampled texts; each task counts before anything is shuffled."""
 

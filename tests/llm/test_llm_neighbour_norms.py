@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from martloom.llm import neighbours
 from martloom.llm.neighbours import nearest_neighbours
 
 
@@ -25,3 +26,14 @@ def test_recall_with_mixed_lengths(spark, spread, outlier):
     x *= np.exp(spread * rng.standard_normal((6000, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
     x[[7, 4000]] *= outlier
     assert recall(spark, x, every=100) > 0.95
+
+
+@pytest.mark.parametrize("spread", [0, 0.5])
+def test_recall_with_few_heads(spark, monkeypatch, spread):
+    """Most vectors are found by walking the graph alone, not by comparing them with the longest ones."""
+    monkeypatch.setattr(neighbours, "HEADS", 64)
+    monkeypatch.setattr(neighbours, "STARTS", 16)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((5000, 24))
+    x *= np.exp(spread * rng.standard_normal((5000, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+    assert recall(spark, x, every=100) > 0.9

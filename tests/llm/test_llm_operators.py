@@ -255,6 +255,30 @@ def test_words_side_by_side_equal_one_by_one():
         assert mine.tolist() == (codec.v.best("▁" + text.replace(" ", "▁"))[0] if text else [])
 
 
+def test_long_runs_are_fitted_like_short_ones(monkeypatch):
+    pieces = ["▁", "a", "b", "▁a", "ab", "▁ab", "ba", "bab"]
+    prob = np.random.default_rng(2).dirichlet(np.ones(len(pieces)), 1).T
+    lattice = langid.Lattice(pieces, langid.Lattice.table(prob))
+    words, counts = ["ab", "babab", "abba", "axb"], np.array([1.0, 2.0, 3.0, 4.0])
+    short = lattice.expected(words, counts)
+    monkeypatch.setattr(langid, "SHORT", 0)
+    assert np.allclose(lattice.expected(words, counts), short, rtol=1e-9)
+    monkeypatch.undo()
+    long = lattice.expected(["ab" * 2000], np.array([1.0]))
+    covered = sum(n * len(p) for n, p in zip(long, pieces))  # every character lies in one piece
+    assert abs(covered - 4001) < 1e-6 and np.isfinite(long).all()
+
+
+def test_a_language_without_spaces_is_learnt(spark):
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choices(("äöüß", "éèçà")[i % 2], k=200)), ("de", "fr")[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, prob = langid.fit(docs, vocabulary_path())
+    assert langs == ["de", "fr"] and prob.max() > 0.05  # all of it stands in runs of 200 letters
+    found = langid.predict_language(docs, (langs, prob), vocabulary_path()).collect()
+    assert all(r.lang_pred == ("de", "fr")[r.doc_id % 2] for r in found)
+
+
 def test_encoding_odd_rows(odd, none):
     out = encode_texts(odd, vocabulary_path())
     rows = {r.doc_id: r for r in out.collect()}
