@@ -236,7 +236,9 @@ def words_of(texts: pa.Array) -> pa.ListArray:
 
 
 def tokenise(docs: DataFrame, model_path: str, text_col: str, end_id: int, window: int) -> DataFrame:
-    """``docs`` columns, ``__row`` (unique), ``__n``, ``__first`` and ``__ids`` (little-endian numbers of 32 bits).
+    """``docs`` columns, ``__row`` (unique), ``__n``, ``__first`` and ``__ids`` (little-endian numbers).
+
+    Ids have 16 bits where the vocabulary fits, else 32.
 
     ``__first`` numbers the first whole window of a row, so that all whole windows have numbers of their own.
 
@@ -255,14 +257,15 @@ def tokenise(docs: DataFrame, model_path: str, text_col: str, end_id: int, windo
         model = Tokenizer.from_str(content.value)
 
         table, row = WordTable(WordEncoder(model)), TaskContext.get().partitionId() << 32
-        whole = row
+        whole, most = row, max(model.get_vocab_size(), end_id + 1)
+        wide = np.dtype("<u2" if most <= 1 << 16 else "<u4")
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
                 flat, n = table.lookup(words_of(part.column(len(keep))))
                 ends = np.cumsum(n)
-                flat = np.insert(flat.astype("<u4"), ends, end_id)
-                ends = (ends + np.arange(1, len(ends) + 1)) * 4
+                flat = np.insert(flat.astype(wide), ends, end_id)
+                ends = (ends + np.arange(1, len(ends) + 1)) * wide.itemsize
                 offsets = pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32).tobytes())
                 ids = pa.Array.from_buffers(pa.binary(), len(n), [None, offsets, pa.py_buffer(flat.tobytes())])
                 upto = whole + np.cumsum((n + 1) // window)
@@ -388,15 +391,17 @@ def pack(
                 part = b.slice(lo, 256)
                 out = []
                 for i, first, n, ids, pieces in zip(*(part.column(c) for c in range(5))):
-                    first, n, raw = first.as_py(), n.as_py(), memoryview(ids.as_buffer())
+                    first, n, raw = first.as_py(), n.as_py(), ids.as_buffer()
+                    known = np.frombuffer(raw, f"<u{len(raw) // n}").astype("<u4")
                     full = n // window
                     # windows of a long document are sequences of their own, before its remainder
                     mine = [(w * window, window, 4 * (first + w), 0) for w in range(full)]
                     for p in pieces.as_py() or []:
                         mine.append((full * window + p["start"], p["length"], p["sequence_id"], p["offset"]))
                     for start, length, sequence, offset in mine:
-                        cut = raw[4 * start : 4 * (start + length)]
-                        out.append((i.as_py(), start, length, zlib.crc32(cut), n, sequence, offset, np.frombuffer(cut, "<i4") if with_ids else None))
+                        cut = known[start : start + length]
+                        crc = zlib.crc32(cut.tobytes())
+                        out.append((i.as_py(), start, length, crc, n, sequence, offset, cut.astype("<i4") if with_ids else None))
                 columns = list(zip(*out)) or [()] * 8
                 arrays = [pa.array(columns[0], part.column(0).type), *[pa.array(c, pa.int64()) for c in columns[1:7]]]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
