@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.session import shared_folder
+
 # Java pattern of a run of the six ASCII white-space characters that separate words.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -23,16 +25,13 @@ class Scratch:
     """Intermediate tables, written as Parquet below ``spark.checkpoint.dir``.
 
     The folder is shared by all executors, so what is written there outlives any of them.
-    Where the setting is unset (tests), the warehouse folder is used. ``drop`` removes a table
+    Where the setting is unset on one machine (tests), the warehouse folder is used. ``drop`` removes a table
     that no later plan reads; the rest stays for the caller's lazy result.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-            "spark.sql.warehouse.dir"
-        )
         self.spark = spark
-        self.root = f"{base.rstrip('/')}/martloom-{name}-{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/martloom-{name}-{uuid.uuid4().hex}"
         self.count = 0
 
     def write(self, df: DataFrame) -> DataFrame:
