@@ -40,8 +40,10 @@ def local_session(app: str = "martloom", cpus: int | str = "*", memory: str = "8
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or the warehouse where it is unset."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``; on one machine, else the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
