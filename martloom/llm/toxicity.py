@@ -1,19 +1,20 @@
 """Toxicity by weak supervision: many noisy voters, a generative label model, a linear classifier.
 
 1. A bounded sample of labelled training rows is drawn. Words and word beginnings that are much
-   commoner in its toxic texts become lexicons; with fixed lexicons and patterns they
-   are the voters. The annotators' label is one more voter.
+   commoner in its toxic texts become disjoint families by their first letters; with fixed lexicons and patterns
+   they are the voters. The annotators' label is one more voter, trusted no more than the others.
 2. A generative model of the votes estimates by expectation maximisation how often each
-   voter is right for either class and how voters correlate given the class; correlated voters
-   share their weight. It gives each sampled row a posterior.
+   voter is right for either class and how voters correlate given the class; the correlations set each
+   voter's share. It gives each sampled row a posterior.
 3. A logistic regression over the lexicon hits is fitted (Spark ML) to the posteriors and
-   scores every whole text.
+   scores every whole text. A feature counts at most ``MOST`` times in a text.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +32,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7)
 CACHE = 300_000  # tokens whose features a task remembers at a time
 MOST = 3  # hits of one feature that count
+STRONG = 8  # a feature votes if it is this many times as common in toxic texts
 THRESHOLD = 0.7  # score from which a text is called toxic
 
 # Common insults of four languages, and patterns of heated writing.
@@ -162,46 +164,105 @@ def _hit_rows(sample: DataFrame, known: list[str]) -> DataFrame:
     )
 
 
+def _covariance(values: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    total = weight.sum() + 1e-9
+    centred = values - (weight[:, None] * values).sum(axis=0) / total
+    return (centred * weight[:, None]).T @ centred / total
+
+
+def _correlation(covariance: np.ndarray) -> np.ndarray:
+    sd = np.sqrt(np.maximum(np.diag(covariance), 1e-6))
+    out = covariance / np.outer(sd, sd)
+    np.fill_diagonal(out, 1)
+    return out
+
+
 def label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, dict]:
     """Posterior of class 1 per row of ``votes`` (values 0 no, 1 abstain, 2 yes), and the estimates.
 
-    P(vote | class) of each voter is estimated by EM, started from the annotators' label, which is
-    the last voter. An abstention says nothing about the class. Voters that agree more than the class
-    explains get their log ratios divided by one plus the sum of their positive correlations given the
-    class. The annotators are taken to be right at least nine times in ten: without that anchor the
-    classes could come to mean "has a word of the largest lexicon". ``weight`` counts equal rows.
+    P(vote | class) of each voter is estimated by EM, started from the share of yes among a row's votes. An
+    abstention says nothing about the class. The correlations R of the votes given the class decide what share of its
+    log ratio a voter counts with: with d the distances of the class means in standard deviations, R^-1 d are
+    the weights of the best linear rule, so the share is (R^-1 d) / d, from 0 to 1; uncorrelated voters count in full,
+    and voters that nearly always agree have one share together.
+    No voter is trusted beforehand. ``weight`` counts equal rows.
     """
     rows, voters = votes.shape
-    last = votes[:, -1]
-    yes = (votes[:, :-1] == 2).any(axis=1)
-    post = np.where(last == 2, 0.95, np.where(last == 0, 0.05, np.where(yes, 0.7, 0.1)))
-    share = np.ones(voters)
     onehot = np.stack([votes == v for v in range(3)], axis=2).astype(float)
     signed = votes - 1.0
+    # voters that say nearly the same count once, else their agreement would become the class
+    alike = 1 / (_correlation(_covariance(signed, weight)) ** 8).sum(axis=1)
+    support = ((votes == 2) * alike).sum(axis=1) / np.maximum(((votes != 1) * alike).sum(axis=1), 1e-9)
+    # rows with more yes than the average row are likelier of class 1 at first
+    usual = (weight * support).sum() / weight.sum()
+    post = np.clip(support / max(2 * usual, 1e-9), 0.02, 0.98)
     for _ in range(rounds):
-        tables, spread = [], np.zeros((voters, voters))
+        tables, means = [], []
+        within = np.zeros((voters, voters))
         for p in (1 - post, post):
             w = weight * p
             total = w.sum() + 1e-9
             tables.append((np.einsum("r,rvk->vk", w, onehot) + 0.5) / (total + 1.5))
-            mean = (w[:, None] * signed).sum(axis=0) / total
-            centred = signed - mean
-            cov = (centred * w[:, None]).T @ centred / total
-            sd = np.sqrt(np.maximum(np.diag(cov), 1e-6))
-            spread += np.clip(cov / np.outer(sd, sd), 0, 1) * total / (weight.sum() + 1e-9)
-        np.fill_diagonal(spread, 0)
-        share = 1 / (1 + spread.sum(axis=1))
-        share[-1] = 1
-        right = [max(tables[y][-1, 2 * y] / (tables[y][-1, 0] + tables[y][-1, 2]), 0.9) for y in (0, 1)]
-        prior = (weight * post).sum() / weight.sum()
-        prior = min(max(prior, 1e-3), 1 - 1e-3)
+            means.append((w[:, None] * signed).sum(axis=0) / total)
+            within += _covariance(signed, w) * total / weight.sum()
+        correlation = _correlation(within)
+        apart = (means[1] - means[0]) / np.sqrt(np.maximum(np.diag(within), 1e-6))
+        ridge = 0.7 * correlation + 0.3 * np.eye(voters)  # equal voters would be singular
+        sure = np.where(np.abs(apart) > 1e-6, apart, 1e-6)
+        share = np.clip(np.linalg.solve(ridge, apart) / sure, 0, alike)
+        prior = min(max((weight * post).sum() / weight.sum(), 1e-3), 1 - 1e-3)
         ratio = np.log(tables[1]) - np.log(tables[0])
-        right = [min(r, 0.999) for r in right]
-        ratio[-1] = [math.log((1 - right[1]) / right[0]), 0, math.log(right[1] / (1 - right[0]))]
         ratio[:, 1] = 0  # abstentions
         z = math.log(prior / (1 - prior)) + np.einsum("rvk,vk,v->r", onehot, ratio, share)
         post = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-    return post, {"tables": tables, "correlation": spread, "share": share, "prior": prior}
+    return post, {"tables": tables, "correlation": correlation, "share": share, "prior": prior}
+
+
+def _families(best: list[tuple[str, float]], families: int) -> list[list[int]]:
+    """Disjoint lexicons of the strong features: all features of one word beginning are in one of them."""
+    groups: dict[int, list[int]] = {}
+    for i, (f, lift) in enumerate(best):
+        if lift >= STRONG:
+            stem = f[1 : 1 + PREFIXES[0]]
+            groups.setdefault(zlib.crc32(stem.encode()) % families, []).append(i)
+    return [groups[g] for g in sorted(groups)]
+
+
+def _voted(hits: DataFrame, known: list[int], lexicons: list[list[int]]) -> DataFrame:
+    """(x, weight, votes): the known features' hits, and what each lexicon, each pattern and the annotators say."""
+    spark = hits.sparkSession
+    shared = spark.sparkContext.broadcast((known, lexicons))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, lexicons = shared.value
+        place = np.full(max(known) + 1, -1, dtype=np.int64)
+        place[known] = np.arange(len(known))
+        for b in batches:
+            at, counts = b.column("at"), b.column("n").flatten().to_numpy()
+            row = np.repeat(np.arange(len(at)), np.diff(at.offsets.to_numpy()))
+            feature = at.flatten().to_numpy()
+            inside = feature < len(place)
+            column = np.where(inside, place[np.where(inside, feature, 0)], -1)
+            x = np.zeros((len(at), len(known)))
+            x[row[column >= 0], column[column >= 0]] = counts[column >= 0]
+            marks = np.array(b.column("marks").to_pylist()).reshape(len(at), -1)
+            votes = np.column_stack(
+                [
+                    *[2 * (x[:, members] > 0).any(axis=1) for members in lexicons],
+                    np.where(marks >= 2, 2, 1),
+                    2 * b.column("toxic").to_numpy(),
+                ]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(x), pa.list_(pa.float64())),
+                    b.column("weight"),
+                    pa.array(votes.tolist(), pa.list_(pa.int32())),
+                ],
+                ["x", "weight", "votes"],
+            )
+
+    return hits.mapInArrow(run, "x array<double>, weight double, votes array<int>")
 
 
 def fit(
@@ -212,6 +273,7 @@ def fit(
     *,
     most_rows: int = 6000,
     most_features: int = 400,
+    families: int = 12,
 ) -> Linear:
     """Fit the classifier on up to ``most_rows`` labelled training rows of either class.
 
@@ -246,35 +308,13 @@ def fit(
     known = [f for f, _ in best] + [f for f in fixed if f not in {x for x, _ in best}]
     if not best:
         return plain
-    place = {often.index(f): i for i, f in enumerate(known)}
+    spots = {f: i for i, f in enumerate(often)}
 
-    # voters: lexicons of strong features by kind, each split in two; fixed lexicons; patterns; label
-    strong = [i for i, (f, lift) in enumerate(best) if lift >= 8]
-    groups: dict[str, set[int]] = {}
-    for i in strong:
-        groups.setdefault(f"{kind(known[i])}.{i % 2}", set()).add(i)
+    # voters: disjoint families of strong features, fixed lexicons, patterns, annotators
     at = {f: i for i, f in enumerate(known)}
-    for lang, words in INSULTS.items():
-        groups[f"fixed.{lang}"] = {at["w" + w] for w in words.split()}
-    lexicons = [sorted(groups[g]) for g in sorted(groups)]
-
-    dense = F.transform(
-        F.lit(list(place)).cast("array<int>") if place else F.array().cast("array<int>"),
-        lambda f: F.coalesce(F.element_at(F.map_from_arrays("at", "n"), f), F.lit(0)).cast("double"),
-    )
-    rows = hits.withColumn("x", dense)
-    votes = []
-    for members in lexicons:
-        spots = F.array(*[F.element_at("x", i + 1) for i in members])
-        total = F.aggregate(spots, F.lit(0.0), lambda s, v: s + v)
-        votes.append(F.when(total >= 2, 2).otherwise(1))
-    # clean: no strong feature at all
-    none = F.aggregate(F.array(*[F.element_at("x", i + 1) for i in sorted(set().union(*lexicons))]), F.lit(0.0), lambda s, v: s + v)
-    votes.append(F.when(none == 0, 0).otherwise(1))
-    for i in range(len(PATTERNS)):
-        votes.append(F.when(F.element_at("marks", i + 1) >= 2, 2).otherwise(1))
-    votes.append(F.col("toxic") * 2)
-    rows = scratch.write(rows.select("x", "weight", F.array(*votes).alias("votes")))
+    lexicons = _families(best, families)
+    lexicons += [sorted({at["w" + w] for w in words.split()}) for words in INSULTS.values()]
+    rows = scratch.write(_voted(hits, [spots[f] for f in known], lexicons))
     patterns = rows.groupBy("votes").agg(F.sum("weight").alias("w")).collect()  # at most the sample
     post, _ = label_model(
         np.array([p["votes"] for p in patterns]), np.array([p["w"] for p in patterns])
