@@ -8,16 +8,16 @@ from pyspark.sql import Window
 
 from martloom.llm.common import Scratch, words
 
-# Measures judged, as whole numbers: (name, expression over the base columns, floor of the upper
-# limit, whether a lower limit holds too). Shares are in units of 1 / 10000.
+# Measures judged, as whole numbers: (name, expression over the base columns, whether a lower limit
+# holds too). Shares are in units of 1 / 10000.
 MEASURES = (
-    ("symbols", "10000 * n_symbols div word_chars", 500, False),
-    ("dup_lines", "10000 * n_dup_lines div n_lines", 3000, False),
-    ("repeats", "10000 * n_repeat_words div n_words", 2000, False),
-    ("word_length", "100 * word_chars div n_words", 0, True),
+    ("symbols", "10000 * n_symbols div word_chars", False),
+    ("dup_lines", "10000 * n_dup_lines div n_lines", False),
+    ("repeats", "10000 * n_repeat_words div n_words", False),
+    ("word_length", "100 * word_chars div n_words", True),
 )
-LEAST_SPREAD = 50  # of word_length, half a character, where the middle half is narrower
-SUB_BITS = 6  # a sketch bin is narrower than 1/32 of its values
+SUB_BITS = 8  # a sketch bin is narrower than 1/128 of its values; values below 256 have their own
+TAIL = 20  # an upper limit on a share rejects at most one row in so many of the group it was learned from
 
 
 def _window_hashes(w: Column) -> Column:
@@ -82,13 +82,21 @@ def base_measures(docs: DataFrame, id_col: str, text_col: str, keys: list[str])
 
 
 def _bin(v: Column) -> Column:
-    """Lower end of the value's bin: its highest six bits, the rest zero."""
+    """Lower end of the value's bin: its highest bits, the rest zero."""
     return F.expr(
         f"case when v < {1 << SUB_BITS} then v else shiftleft(shiftright(v, cast(length(bin(v)) - {SUB_BITS} as int)),"
         f" cast(length(bin(v)) - {SUB_BITS} as int)) end"
     )
 
 
+def _bin_end(low: str) -> Column:
+    """Last value of the bin that begins at ``low``."""
+    return F.expr(
+        f"case when {low} < {1 << SUB_BITS} then {low}"
+        f" else {low} + shiftleft(1L, cast(length(bin({low})) - {SUB_BITS} as int)) - 1 end"
+    )
+
+
 def quantile_sketch(values: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, measure, bin, n): a histogram with bins of bounded relative width.
 
@@ -100,29 +108,63 @@ def quantile_sketch(values: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def sketch_quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, measure, rows, q1, q3) from a sketch; a group has at most a few hundred bins."""
+def sketch_quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, measure, rows, filled, q1, q3, tail, low) from a sketch; a group has at most some thousand bins.
+
+    ``q1`` and ``q3`` are the ends of the middle half, ``tail`` the value that one row in ``TAIL`` may exceed. ``filled``
+    rows are not 0, and ``low`` is their lower quartile (null if there are none).
+    """
     group = Window.partitionBy(*keys, "measure")
-    running = F.sum("n").over(group.orderBy("bin")).alias("upto")
-    counted = sketch.select("*", running, F.sum("n").over(group).alias("rows"))
+    counted = sketch.select(
+        "*",
+        F.sum("n").over(group.orderBy("bin")).alias("upto"),
+        F.sum("n").over(group).alias("rows"),
+        F.sum(F.when(F.col("bin") > 0, F.col("n")).otherwise(0)).over(group).alias("filled"),
+    )
+    upto, rows, filled = F.col("upto"), F.col("rows"), F.col("filled")
+    some = (F.col("bin") > 0) & (4 * (upto - rows + filled) >= filled)
     return counted.groupBy(*keys, "measure").agg(
         F.max("rows").alias("rows"),
-        F.min(F.when(4 * F.col("upto") >= F.col("rows"), F.col("bin"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("rows"), F.col("bin"))).alias("q3"),
+        F.max("filled").alias("filled"),
+        F.min(F.when(4 * upto >= rows, F.col("bin"))).alias("q1"),
+        F.min(F.when(4 * upto >= 3 * rows, _bin_end("bin"))).alias("q3"),
+        F.min(F.when(TAIL * upto >= (TAIL - 1) * rows, _bin_end("bin"))).alias("tail"),
+        F.min(F.when(some, F.col("bin"))).alias("low"),
     )
 
 
-def _limits(quartiles: DataFrame, keys: list[str], reach: int) -> DataFrame:
-    """One row per group: (keys, rows, <measure>_lo, <measure>_hi)."""
+def quality_limits(sketch: DataFrame, keys: list[str], reach: int) -> DataFrame:
+    """One row per group: (keys, rows, <measure>_lo, <measure>_hi), see :func:`judge_quality`."""
     out = [F.max("rows").alias("rows")]
-    for name, _, floor, both in MEASURES:
-        least = LEAST_SPREAD if both else 0
-        spread = reach * F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
+    middle = F.col("q3") - F.col("q1")
+    common = F.least(F.col("low"), F.expr(f"{TAIL} * low * filled div rows"))
+    spread = F.greatest(middle, common)  # null without filled rows: the middle half decides
+    for name, _, both in MEASURES:
         mine = F.col("measure") == name
-        out.append(F.max(F.when(mine, F.greatest(F.col("q3") + spread, F.lit(floor)))).alias(f"{name}_hi"))
         if both:
-            out.append(F.max(F.when(mine, F.col("q1") - spread)).alias(f"{name}_lo"))
-    return quartiles.groupBy(*keys).agg(*out)
+            hi = F.col("q3") + reach * middle
+            lo = F.greatest(F.col("q1") - reach * middle, F.lit(0))
+            out.append(F.max(F.when(mine, lo)).alias(f"{name}_lo"))
+        else:
+            hi = F.greatest(F.col("q3") + reach * spread, F.col("tail"))
+        out.append(F.max(F.when(mine, hi)).alias(f"{name}_hi"))
+    return sketch_quantiles(sketch, keys).groupBy(*keys).agg(*out)
+
+
+def shrunk_limits(sketch: DataFrame, wider: list[str], keys: list[str], reach: int, prior_rows: int) -> DataFrame:
+    """Limits of each group of ``keys``, drawn towards those of its wider group by ``prior_rows`` against its own rows.
+
+    ``wider`` are the first of ``keys``; the wider group's sketch is the sum of its groups' sketches.
+    """
+    merged = sketch.groupBy(*wider, "measure", "bin").agg(F.sum("n").alias("n"))
+    a = quality_limits(sketch, keys, reach).alias("a")
+    b = quality_limits(merged, wider, reach).alias("b")
+    marks = [c for c in a.columns if c not in (*keys, "rows")]
+    same = F.lit(True)
+    for k in wider:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    drawn = [F.expr(f"(a.rows * a.{m} + {prior_rows} * b.{m}) div (a.rows + {prior_rows})").alias(m) for m in marks]
+    return a.join(b, same).select(*[F.col(f"a.{k}") for k in keys], *drawn)
 
 
 def judge_quality(
@@ -133,15 +175,23 @@ def judge_quality(
     source_col: str = "source",
     *,
     reach: int = 3,
-    min_group: int = 100,
+    prior_rows: int = 100,
 ) -> DataFrame:
     """Base counts, the base rules' verdict and the adaptive verdict, one row per document.
 
     Base rules fail a text of under 50 words or with over half of its words in repeated 3-word
-    windows. Texts that pass them feed one quantile sketch per measure, language and source; a
-    measure beyond its group's quartile by ``reach`` interquartile ranges (and
-    beyond the measure's floor, so that uniform groups are not cut into) rejects. Groups of under
-    ``min_group`` rows use the merged sketch of their language. Null languages and
+    windows. Texts that pass them feed one quantile sketch per measure, language and source, and all limits
+    come from these sketches; none is a fixed value.
+
+    * The mean word length is held between the group's quartiles, widened by ``reach`` interquartile ranges.
+    * A share (symbols, repeated lines, words in repeated windows) may exceed the upper quartile by ``reach`` spreads.
+      The spread is the interquartile range or, as most texts have a share of 0, the lower quartile of the shares
+      above 0 if that is larger; where under one text in ``TAIL`` is above 0 it shrinks in proportion,
+      so that what is rare in a group is judged strictly. No more than one in ``TAIL`` of a group lies beyond its own limit.
+    * A source's limits are the mean of its own and its language's, weighted by its rows and ``prior_rows``, so
+      small sources follow their language and large ones themselves.
+
+    Null languages and
     sources are groups of their own; null or blank texts have no words and fail. Repeated rows are
     judged alike; other columns are ignored.
     """
@@ -149,7 +199,7 @@ def judge_quality(
     base = base_measures(docs, id_col, text_col, [lang_col, source_col])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     base = base.withColumn("base_failed", failed)
-    for name, how, _, _ in MEASURES:
+    for name, how, _ in MEASURES:
         base = base.withColumn(name, F.when(~F.col("base_failed"), F.expr(how)))
     # numbers only, read by the sketches and again by the final filter
     base = Scratch(docs.sparkSession, "quality").write(base)
@@ -158,19 +208,11 @@ def judge_quality(
     )
     values = base.where(~F.col("base_failed")).select(*spark_keys, stacked)
     sketch = quantile_sketch(values, spark_keys)
-    wide = sketch.groupBy("__0", "measure", "bin").agg(F.sum("n").alias("n"))
-    own = _limits(sketch_quartiles(sketch, spark_keys), spark_keys, reach)
-    lang = _limits(sketch_quartiles(wide, ["__0"]), ["__0"], reach)
-    marks = [f"{m[0]}_{e}" for m in MEASURES for e in (("lo", "hi") if m[3] else ("hi",))]
-    a, b = own.alias("a"), lang.alias("b")
-    use = F.col("a.rows") >= min_group
-    limits = a.join(b, F.col("a.__0").eqNullSafe(F.col("b.__0"))).select(
-        F.col("a.__0").alias("k0"), F.col("a.__1").alias("k1"),
-        *[F.when(use, F.col(f"a.{m}")).otherwise(F.col(f"b.{m}")).alias(m) for m in marks],
-    )
+    limits = shrunk_limits(sketch, spark_keys[:1], spark_keys, reach, prior_rows)
+    limits = limits.withColumnsRenamed({"__0": "k0", "__1": "k1"})
     same = base["__0"].eqNullSafe(limits["k0"]) & base["__1"].eqNullSafe(limits["k1"])
     fine = ~F.col("base_failed")
-    for name, _, _, both in MEASURES:
+    for name, _, both in MEASURES:
         fine = fine & (F.col(name) <= F.col(f"{name}_hi"))
         if both:
             fine = fine & (F.col(name) >= F.col(f"{name}_lo"))

@@ -167,38 +167,37 @@ v as (
       {'m': 'word_length', 'v': 100 * word_chars // n_words}], recursive := true)
     from judged where not base_failed)),
 b as (
-  select lang, source, m,
-         case when v < 64 then v else (v >> cast(length(bin(v)) - 6 as bigint)) << cast(length(bin(v)) - 6 as bigint) end as bin
+  select lang, source, m, case when v < 256 then 0 else length(bin(v)) - 8 end as shift, (v >> shift) << shift as bin,
+         bin + (1::bigint << shift) - 1 as last
   from v),
 own as (
-  select lang, source, m, max(total) as total,
-         min(case when 4 * upto >= total then bin end) as q1,
-         min(case when 4 * upto >= 3 * total then bin end) as q3
-  from (select lang, source, m, bin,
-               count(*) over (partition by lang, source, m order by bin) as upto,
-               count(*) over (partition by lang, source, m) as total from b)
+  select lang, source, m, max(total) as n, max(filled) as filled,
+         min(bin) filter (4 * upto >= total) as q1, min(last) filter (4 * upto >= 3 * total) as q3,
+         min(last) filter (20 * upto >= 19 * total) as tail,
+         min(bin) filter (bin > 0 and 4 * (upto - total + filled) >= filled) as low
+  from (select *, count(*) over g as total, count(*) filter (bin > 0) over g as filled, count(*) over (g order by bin) as upto
+        from b window g as (partition by lang, source, m))
   group by all),
 wide as (
-  select lang, m, max(total) as total,
-         min(case when 4 * upto >= total then bin end) as q1,
-         min(case when 4 * upto >= 3 * total then bin end) as q3
-  from (select lang, m, bin, count(*) over (partition by lang, m order by bin) as upto,
-               count(*) over (partition by lang, m) as total from b)
+  select lang, m, max(total) as n, max(filled) as filled,
+         min(bin) filter (4 * upto >= total) as q1, min(last) filter (4 * upto >= 3 * total) as q3,
+         min(last) filter (20 * upto >= 19 * total) as tail,
+         min(bin) filter (bin > 0 and 4 * (upto - total + filled) >= filled) as low
+  from (select *, count(*) over g as total, count(*) filter (bin > 0) over g as filled, count(*) over (g order by bin) as upto
+        from b window g as (partition by lang, m))
   group by all),
+both_limits as (
+  select *, case when m = 'word_length' then q3 + 3 * (q3 - q1)
+                 else greatest(q3 + 3 * greatest(q3 - q1, least(low, 20 * low * filled // n)), tail) end as hi,
+         greatest(q1 - 3 * (q3 - q1), 0) as lo
+  from (select 1 as level, * from own union all by name select 0 as level, * from wide)),
 limits as (
-  select lang, source, m,
-         q3 + 3 * greatest(q3 - q1, case when m = 'word_length' then 50 else 0 end) as hi,
-         q1 - 3 * greatest(q3 - q1, 50) as lo
-  from (select o.lang, o.source, o.m,
-               case when o.total >= 100 then o.q1 else w.q1 end as q1,
-               case when o.total >= 100 then o.q3 else w.q3 end as q3
-        from own o join wide w on o.lang is not distinct from w.lang and o.m = w.m)),
+  select o.lang, o.source, o.m, (o.n * o.hi + 100 * w.hi) // (o.n + 100) as hi, (o.n * o.lo + 100 * w.lo) // (o.n + 100) as lo
+  from both_limits o join both_limits w on o.level = 1 and w.level = 0 and o.lang is not distinct from w.lang and o.m = w.m),
 bad as (
   select distinct v.doc_id from v join limits t
     on v.lang is not distinct from t.lang and v.source is not distinct from t.source and v.m = t.m
-  where v.v > greatest(t.hi, case v.m when 'symbols' then 500 when 'dup_lines' then 3000
-                             when 'repeats' then 2000 else 0 end)
-     or (v.m = 'word_length' and v.v < t.lo))
+  where v.v > t.hi or (v.m = 'word_length' and v.v < t.lo))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and doc_id not in (select doc_id from bad) as kept
 from judged

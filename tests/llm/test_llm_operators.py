@@ -170,6 +170,36 @@ def test_quality_rules(spark, odd, none):
     assert judge_quality(none).count() == 0
 
 
+def test_quality_limits_follow_the_group(spark):
+    """The same share of symbols is usual in one source and rejected in the other; even texts lose nothing."""
+    rng = random.Random(5)
+
+    def text(marked):
+        lengths = [5 + (i % 3) for i in range(90)]
+        made = ["".join(rng.choices("abcdefghij", k=k)) for k in lengths]
+        return " ".join("#" + w[1:] if i < marked else w for i, w in enumerate(made))
+
+    rows = [(i, text(40 if i % 2 else 0), "en", "code") for i in range(1000)]
+    rows += [(1000 + i, text(40 if i < 5 else 0), "en", "prose") for i in range(1000)]
+    rows += [(2000 + i, text(0), "de", "even") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    gone = {r.doc_id for r in judge_quality(df).collect() if not r.kept}
+    assert gone == set(range(1000, 1005))
+
+
+def test_quality_sources_with_few_rows_follow_their_language(spark):
+    from martloom.llm.quality import quality_limits, shrunk_limits
+
+    rows = [("en", "big", "symbols", v, 300) for v in (0, 40, 80)] + [("en", "small", "symbols", v, 2) for v in (0, 400)]
+    sketch = spark.createDataFrame(rows, "l string, s string, measure string, bin long, n long")
+    own = {r.s: r.symbols_hi for r in quality_limits(sketch, ["l", "s"], 3).collect()}
+    wide = quality_limits(sketch.groupBy("l", "measure", "bin").agg(F.sum("n").alias("n")), ["l"], 3).first().symbols_hi
+    # 0, 40 and 80 in equal parts: quartiles 0 and 80; 400 lies in the bin from 400 to 401
+    assert own == {"big": 80 + 3 * 80, "small": 401 + 3 * 401} and wide == own["big"]
+    drawn = {r.s: r.symbols_hi for r in shrunk_limits(sketch, ["l"], ["l", "s"], 3, 100).collect()}
+    assert drawn == {"big": 320, "small": (4 * own["small"] + 100 * wide) // 104}
+
+
 # ── repeated byte strings ────────────────────────────────────────────────────────────────
 
 
@@ -349,6 +379,29 @@ def test_label_model_prefers_the_better_voter():
     assert found["correlation"][1, 2] > 0.8
 
 
+def test_label_model_equals_the_true_posteriors_of_independent_voters():
+    rng = np.random.default_rng(3)
+    n, yes = 60_000, np.array([[0.05, 0.6], [0.1, 0.7], [0.02, 0.3], [0.2, 0.8], [0.03, 0.9]])
+    truth = (rng.random(n) < 0.2).astype(int)
+    hit = rng.random((n, len(yes))) < yes[:, truth].T
+    post, found = toxicity.label_model(2 * hit.astype(int), np.ones(n), rounds=60)
+    odds = np.where(hit, yes[:, 1] / yes[:, 0], (1 - yes[:, 1]) / (1 - yes[:, 0])).prod(axis=1) * 0.2 / 0.8
+    assert np.abs(post - odds / (1 + odds)).mean() < 0.02
+    assert np.abs(found["tables"][1][:, 2] - yes[:, 1]).max() < 0.05 and abs(found["prior"] - 0.2) < 0.02
+
+
+def test_label_model_outvotes_a_wrong_last_voter():
+    """The annotators are one voter: where half of their yes is missing, the others' agreement shows it."""
+    rng = np.random.default_rng(4)
+    truth = rng.random(20_000) < 0.3
+    others = [np.where(rng.random(20_000) < 0.9, truth, ~truth) for _ in range(6)]
+    last = truth & (rng.random(20_000) < 0.5)
+    votes = 2 * np.stack([*others, last], axis=1).astype(int)
+    post, found = toxicity.label_model(votes, np.ones(20_000))
+    assert ((post > 0.5) == truth).mean() > 0.97
+    assert abs(found["tables"][1][-1, 2] - 0.5) < 0.06
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (4, 0), (None, 1), (2, None), (1, 1)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)
