@@ -460,6 +460,7 @@ def _(spark, sf):
         FROM ev LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey""",
 )
 def _(spark, sf):
+    # customers in debt are left out of the lookup, on purpose: their users must keep their own id
     family = load(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
     family = family.select("c_custkey", F.col("c_nationkey").cast("bigint").alias("parent"))
     out = lookup_or_self(events(spark, sf), "user_id", family, "c_custkey", "parent", "household")
@@ -472,6 +473,7 @@ def _(spark, sf):
        LEFT JOIN region ON n_regionkey = r_regionkey""",
 )
 def _(spark, sf):
+    # five nations are left out of the lookup, on purpose: the chain must break at them
     steps = [
         (load(spark, sf, "nation").filter(F.col("n_nationkey") > 4), "n_nationkey", "n_regionkey"),
         (load(spark, sf, "region"), "r_regionkey", "r_name"),

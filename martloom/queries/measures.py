@@ -363,6 +363,7 @@ def _(spark, sf):
         F.sum(F.when(age <= 365, F.col("qty"))).alias("young"),
         F.sum(F.when(age > 365, F.col("qty"))).alias("old"),
     )
+    # large parts have no cost, on purpose: their units must be worth nothing
     cost = (
         load(spark, sf, "part", ["p_retailprice"])
         .filter(F.col("p_size") < 45)

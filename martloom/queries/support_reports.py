@@ -59,6 +59,7 @@ def _(spark, sf):
         F.col("day").alias("event_date"),
         "user_id",
     )
+    # customers in debt have no family, on purpose: their users must count by themselves
     family = load(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
     family = family.select(
         F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("bigint").alias("parent_id")
