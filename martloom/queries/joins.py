@@ -26,7 +26,7 @@ from ..operators.joins import (
     spine_join,
 )
 from ..session import fresh_path
-from ..sources import bucket_together, load
+from ..sources import bucket_together, buckets_for, load
 from .base import EV, LI, ORD, events, lines, orders, query
 
 YEARS = range(1995, 2002)
@@ -104,7 +104,9 @@ def _(spark, sf):
     """The same over tables that were laid out by the key, without a shuffle."""
     path = fresh_path(spark, "order_facts")
     prefix = path.rsplit("/", 1)[1].replace("-", "_")
-    return _three_way(bucket_together(_order_facts(spark, sf), prefix, ["order_id", "sku"], 8, path))
+    # counted from the file footers; a bucket is joined by one task, so their number follows the rows
+    buckets = buckets_for(load(spark, sf, "lineitem").count())
+    return _three_way(bucket_together(_order_facts(spark, sf), prefix, ["order_id", "sku"], buckets, path))
 
 
 def _months(df: DataFrame, date: str, measures) -> DataFrame:

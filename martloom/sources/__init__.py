@@ -1,6 +1,6 @@
 """Reading, slicing and writing tables."""
 
-from .bucketed import bucket_together, write_bucketed
+from .bucketed import bucket_together, buckets_for, write_bucketed
 from .publish import publish, published_parts, read_published, vacuum
 from .tables import (
     event_day,
@@ -18,6 +18,7 @@ from .tables import (
 
 __all__ = [
     "bucket_together",
+    "buckets_for",
     "event_day",
     "footer_max",
     "latest_snapshot",
