@@ -12,6 +12,7 @@ from ..operators.aggregates import aging_value
 from ..operators.dedup import latest_per_key
 from ..operators.joins import DimJoin, enrich
 from ..operators.series import nearest_fill, period_delta
+from ..operators.skew import spread
 from ..operators.unions import union_all
 from ..sources import latest_snapshot, window_to_max
 
@@ -126,15 +127,21 @@ def fee_changes(
 
 
 def cost_gap_fill(
-    series: DataFrame, value: str = "avg_cost_per_item_month", ordered: bool = True
+    series: DataFrame,
+    value: str = "avg_cost_per_item_month",
+    ordered: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every month without a unit cost, with the nearest known cost of the same year.
 
     All windows partition by the sku or finer, so the series is shuffled once. For ordered
-    output that one shuffle is by ranges of the sku, which the final sort then reuses.
+    output that one shuffle is by ranges of the sku, which the final sort then reuses. ``partitions``
+    is for a long series: how many parts it is cut into, the session's number by default.
     """
     if ordered:
-        series = series.repartitionByRange("sku")
+        series = series.repartitionByRange(*([partitions] if partitions else []), "sku")
+    else:
+        series = spread(series, partitions, "sku")
     filled = nearest_fill(
         series, ["sku"], "month_", value, bound=["year_"], neighbours=True
     ).select(

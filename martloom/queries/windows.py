@@ -13,6 +13,7 @@ from ..operators.dedup import latest_per_key, row_sequence
 from ..operators.intervals import change_intervals
 from ..operators.rolling import rolling_distinct
 from ..operators.series import nearest_fill, neighbour_values, period_delta
+from ..operators.skew import spread, tasks_for
 from ..session import fresh_path
 from ..sources import load
 from .base import EV, LI, ORD, events, lines, orders, query
@@ -96,20 +97,33 @@ _COST = f"""{LI}, cost AS (SELECT l_partkey, year(ship) AS y, month(ship) AS m,
     LEFT JOIN cost ON cost.l_partkey = p_partkey AND cost.y = y0 AND cost.m = m0)"""
 
 
+_COST_YEARS = range(1995, 2002)
+_COST_MONTHS = 12 * len(_COST_YEARS)
+
+
+def cost_tasks(spark, sf) -> int | None:
+    """Into how many parts a long series is cut; the parts of the table are counted from the file footer."""
+    return tasks_for(spark, load(spark, sf, "part").count() * _COST_MONTHS)
+
+
 def cost_series(spark, sf):
     """A price per part and month, NULL where nothing shipped."""
-    known = (
-        lines(spark, sf)
-        .groupBy(
-            F.col("l_partkey").alias("sku"),
-            F.year("ship").alias("year_"),
-            F.month("ship").alias("month_"),
-        )
-        .agg(F.max("price").alias("cost"))
+    keys = ["sku", "year_", "month_"]
+    prices = lines(spark, sf).select(
+        F.col("l_partkey").alias("sku"),
+        F.year("ship").alias("year_"),
+        F.month("ship").alias("month_"),
+        "price",
     )
+    # dealt before they are summed up, so that the join takes over the number of partitions
+    known = spread(prices, cost_tasks(spark, sf), *keys).groupBy(*keys).agg(F.max("price").alias("cost"))
     parts = load(spark, sf, "part").withColumnRenamed("p_partkey", "sku")
-    spine = calendar_spine(parts, "sku", range(1995, 2002))
-    return spine.join(known, ["sku", "year_", "month_"], "left")
+    spine = calendar_spine(parts, "sku", _COST_YEARS)
+    return spine.join(known, keys, "left")
+
+
+def _by_sku(spark, sf):
+    return spread(cost_series(spark, sf), cost_tasks(spark, sf), "sku")
 
 
 @query(
@@ -127,7 +141,7 @@ def cost_series(spark, sf):
         LEFT JOIN ser q ON q.sku = s.sku AND q.year_ = s.year_ AND q.month_ = nm""",
 )
 def _(spark, sf):
-    return neighbour_values(cost_series(spark, sf), ["sku", "year_"], "month_", "cost")
+    return neighbour_values(_by_sku(spark, sf), ["sku", "year_"], "month_", "cost")
 
 
 @query(
@@ -143,7 +157,7 @@ def _(spark, sf):
           CAST(acost AS DOUBLE) AS fill_cost FROM c WHERE r = 1""",
 )
 def _(spark, sf):
-    return nearest_fill(cost_series(spark, sf), ["sku"], "month_", "cost", bound=["year_"])
+    return nearest_fill(_by_sku(spark, sf), ["sku"], "month_", "cost", bound=["year_"])
 
 
 @query(
