@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,8 @@ from martloom.llm.common import WordTable, end_to_end, flat_slices
 
 MARK = "▁"  # stands for a space
 LONG = 64  # characters from which a word is solved on its own
-TOGETHER = 1 << 14  # words solved side by side
+TOGETHER = 1 << 13  # words solved side by side
+MOST_IDS = 1_000_000  # words and their ids that a task remembers
 
 
 class DoubleArray:
@@ -59,13 +61,13 @@ class DoubleArray:
             while any(check[start + c] >= 0 for c in codes):
                 start += 1
                 if start + room > len(check):
-                    for array, x in ((base, 0), (check, -1), (value, -1)):
-                        array.extend([x] * len(tree))
+                    for part, x in ((base, 0), (check, -1), (value, -1)):
+                        part.extend([x] * len(tree))
             if start - first > 50:  # the part before is crowded: a few places there stay empty
                 seek = max(seek, start + codes[0])
             if start + 2 * room > len(check):
-                for array, x in ((base, 0), (check, -1), (value, -1)):
-                    array.extend([x] * (2 * room))
+                for part, x in ((base, 0), (check, -1), (value, -1)):
+                    part.extend([x] * (2 * room))
             state = at[node]
             base[state] = start
             for c in codes:
@@ -74,7 +76,8 @@ class DoubleArray:
                 check[start + c] = state
                 value[start + c] = ends.get(child, -1)
                 queue.append(child)
-        self.base, self.check, self.value = base, check, value
+        # four bytes a number; lists of Python numbers take ten times as much in every task
+        self.base, self.check, self.value = (array("i", x) for x in (base, check, value))
 
 
 class Vocabulary:
@@ -166,7 +169,7 @@ class Batch:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         trie = vocabulary.trie
-        self.base, self.check, self.value = (np.array(x, dtype=np.int32) for x in (trie.base, trie.check, trie.value))
+        self.base, self.check, self.value = (np.frombuffer(x, dtype=np.int32) for x in (trie.base, trie.check, trie.value))
         self.scores = np.array(vocabulary.scores)
         self.code = np.zeros(0x110000, dtype=np.int32)
         for ch, number in trie.code.items():
@@ -192,10 +195,10 @@ class Batch:
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
         codes = np.zeros((n, width + 1), dtype=np.int32)
         codes[np.arange(width + 1) < sizes[:, None]] = self.code[chars]
-        gap = np.full((n, width + 1), width + 1)
+        gap = np.full((n, width + 1), width + 1, dtype=np.int32)
         score = np.zeros((n, width + 1))
-        back = np.full((n, width + 1), -1)
-        piece = np.full((n, width + 1), -1)
+        back = np.full((n, width + 1), -1, dtype=np.int32)
+        piece = np.full((n, width + 1), -1, dtype=np.int32)
         gap[:, 0] = 0
         for i in range(width):
             rows = np.arange(np.searchsorted(sizes, i, side="right"), n)  # words that have a place i
@@ -245,7 +248,7 @@ class Codec:
             self.cut = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
         else:
             self.cut = re.compile(f"(?s){MARK}+[^{MARK}]*|[^{MARK}]+" if vocabulary.by_word else "(?s).+")
-        self.table = WordTable(self._encode)
+        self.table = WordTable(self._encode, MOST_IDS)
         self.batch = Batch(vocabulary)
         self.blob = np.frombuffer(b"".join(vocabulary.raw), dtype=np.uint8)
         self.length = np.array([len(r) for r in vocabulary.raw], dtype=np.int64)
