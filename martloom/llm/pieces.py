@@ -22,6 +22,7 @@ MARK = "▁"  # stands for a space
 LONG = 64  # characters from which a word is solved on its own
 TOGETHER = 1 << 13  # words solved side by side
 MOST_IDS = 1_000_000  # words and their ids that a task remembers
+ROWS = 256  # texts encoded at once
 
 
 class DoubleArray:
@@ -329,8 +330,8 @@ def encode_texts(
         codec = _codec(model)
         for batch in batches:
             # few rows at a time: the ids of long texts take more room than the texts
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
                 texts = part.column(at).cast(pa.string())
                 known = texts.is_valid().to_numpy(zero_copy_only=False)
                 plain = texts.drop_null()
