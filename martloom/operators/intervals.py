@@ -235,6 +235,7 @@ def valid_at_join(
     bucket_days: int | None = None,
     date_range: tuple[dt.date | Column, dt.date | Column] | None = None,
     chunk_rows: int | None = None,
+    merge: bool = False,
 ) -> DataFrame:
     """Attach the lookup row valid on the fact's date, both ends included.
 
@@ -245,15 +246,16 @@ def valid_at_join(
     only meets the rows of its own bucket. ``chunk_rows`` does so by measure: only a key with more facts than that
     is cut, at dates that give it about as many in each chunk, and a lookup row is carried into the chunks it
     is open in. Rows are then repeated by the number of facts, never by the length of their validity.
+    ``merge`` is for a lookup that grows with the facts, see :class:`~martloom.operators.joins.DimJoin`.
     """
     if chunk_rows is not None:
-        return _chunked_valid_at(facts, dim, on, at, valid_from, valid_to, take, how, date_range, chunk_rows)
+        return _chunked_valid_at(facts, dim, on, at, valid_from, valid_to, take, how, date_range, chunk_rows, merge)
     starts, ends = F.col(valid_from), F.col(valid_to)
     if date_range:
         date_range = tuple(d if isinstance(d, Column) else F.lit(d) for d in date_range)
         dim = dim.filter((starts <= date_range[1]) & (ends >= date_range[0]))
     if bucket_days is None:
-        return enrich(facts, [DimJoin(dim, on, take, how, valid=(at, valid_from, valid_to))])
+        return enrich(facts, [DimJoin(dim, on, take, how, valid=(at, valid_from, valid_to), merge=merge)])
     if date_range:
         lo, hi = (_bucket(d, bucket_days) for d in date_range)
     else:
@@ -275,10 +277,10 @@ def valid_at_join(
         .withColumn("__bucket", F.explode(F.sequence("__first", "__last")))
     )
     placed = facts.withColumn("__own", _bucket(F.to_date(at), bucket_days))
-    return enrich(
-        placed,
-        [DimJoin(spread, {**on, "__own": "__bucket"}, take, how, valid=(at, valid_from, valid_to))],
-    ).drop("__own")
+    lookup = DimJoin(
+        spread, {**on, "__own": "__bucket"}, take, how, valid=(at, valid_from, valid_to), merge=merge
+    )
+    return enrich(placed, [lookup]).drop("__own")
 
 
 def chunk_starts(facts: DataFrame, keys: Sequence[str], at: str, chunk_rows: int) -> DataFrame:
@@ -296,7 +298,7 @@ def chunk_starts(facts: DataFrame, keys: Sequence[str], at: str, chunk_rows: int
     return later.agg(F.array_sort(F.collect_list("__start")).alias("__starts"))
 
 
-def _chunked_valid_at(facts, dim, on, at, valid_from, valid_to, take, how, date_range, chunk_rows) -> DataFrame:
+def _chunked_valid_at(facts, dim, on, at, valid_from, valid_to, take, how, date_range, chunk_rows, merge) -> DataFrame:
     starts, ends = F.to_date(valid_from), F.to_date(valid_to)
     dim = dim.filter(starts.isNotNull() & ends.isNotNull() & (starts <= ends))
     if date_range:
@@ -314,7 +316,7 @@ def _chunked_valid_at(facts, dim, on, at, valid_from, valid_to, take, how, date_
     cut = F.col("__starts").isNotNull()
     first, last = (F.when(cut, chunk(d)).otherwise(0) for d in (starts, ends))
     known = known.withColumn("__chunk", F.explode(F.sequence(first, last)))
-    lookup = DimJoin(known, {**on, "__own": "__chunk"}, take, how, valid=(at, valid_from, valid_to))
+    lookup = DimJoin(known, {**on, "__own": "__chunk"}, take, how, valid=(at, valid_from, valid_to), merge=merge)
     return enrich(placed, [lookup]).drop("__own", "__starts")
 
 
@@ -332,6 +334,7 @@ def open_interval_join(
     bucket_days: int | None = None,
     date_range: tuple[dt.date | Column, dt.date | Column] | None = None,
     chunk_rows: int | None = None,
+    merge: bool = False,
 ) -> DataFrame:
     """``valid_at_join`` over intervals whose open ends fall back to other columns."""
     closed = dim.withColumns(
@@ -341,7 +344,7 @@ def open_interval_join(
         }
     )
     return valid_at_join(
-        facts, closed, on, at, "__from", "__until", take, how, bucket_days, date_range, chunk_rows
+        facts, closed, on, at, "__from", "__until", take, how, bucket_days, date_range, chunk_rows, merge
     )
 
 

@@ -56,6 +56,39 @@ def _person(prefix: str) -> dict[str, str]:
     return {f"{prefix}{c}": c for c in ("surname", "name", "patronymic")}
 
 
+def _client_lookup(
+    t: Mapping[str, DataFrame], phone: DataFrame, take: Mapping[str, str], split_phone: bool = False
+) -> DataFrame:
+    """``cust_id`` with the columns of its customer in ``take``, its person's name and its phone.
+
+    All three grow with the clients, so they are merged, and facts meet the result once instead of each of them.
+    """
+    customers = t["customers"].filter(F.col("fl_del") == "0")
+    return enrich(
+        customers.select(F.col("id").alias("cust_id"), *[F.col(c).alias(out) for out, c in take.items()]),
+        [
+            DimJoin(
+                t["persons"],
+                {"hid_party": "hid_party"},
+                _person("person_"),
+                where=F.col("is_deleted") == 0,
+                merge=True,
+            ),
+            DimJoin(
+                phone,
+                {"hid_party": "hid_party"},
+                {"telephone": "telephone", "countrycode": "countrycode"},
+                split=split_phone,
+                merge=True,
+            ),
+        ],
+    )
+
+
+def _same(df: DataFrame, *apart: str) -> dict[str, str]:
+    return {c: c for c in df.columns if c not in apart}
+
+
 def account_open_events(
     t: Mapping[str, DataFrame],
     day: dt.date | None = None,
@@ -294,7 +327,8 @@ def read_account_feed(
 def migration_periods(links: DataFrame, migrations: DataFrame) -> DataFrame:
     """Which repayment account served a contract when: one period per account migration.
 
-    Chunked by day, so that a contract with very many migrations does not meet in one task.
+    Chunked by day, so that a contract with very many migrations does not meet in one task. Migrations grow
+    with the contracts, so they are merged.
     """
     active = (
         (F.col("link_type") == REPAYMENT_LINK)
@@ -305,7 +339,10 @@ def migration_periods(links: DataFrame, migrations: DataFrame) -> DataFrame:
         links.filter(active).select("contract_id", "account_id", "dt_bgn", "dt_end"),
         [
             DimJoin(
-                migrations, {"account_id": "old_acc_id"}, {"migration_date": "migration_date"}
+                migrations,
+                {"account_id": "old_acc_id"},
+                {"migration_date": "migration_date"},
+                merge=True,
             )
         ],
     )
@@ -325,6 +362,9 @@ def early_repayment_events(
 
     ``bucket_days`` guards contracts with very many migrations or product changes. ``product_bounded`` asks for
     product names valid on the day.
+
+    Tables with rows per contract, account or client grow with the events and are merged. Those per client are put
+    together before the events meet them, once and last, so that the joins before carry no names.
     """
     entered = t["repayments"].filter(F.col("operator_cre_id") != SYSTEM_OPERATOR)
     seed = latest_per_key(entered, ["contract_id", "dt"], ["prov_dt"], tie_break).select(
@@ -349,6 +389,7 @@ def early_repayment_events(
         "end": "migration_date",
         "end_default": "dt_end",
         "bucket_days": bucket_days,
+        "merge": True,
     }
     events = open_interval_join(
         seed,
@@ -365,12 +406,15 @@ def early_repayment_events(
     loan_days = enrich(
         seed.select("contract_id", "dt"),
         [
-            DimJoin(loans, {"contract_id": "contract_id"}, {"loan_account": "account_id"}, "inner"),
+            DimJoin(
+                loans, {"contract_id": "contract_id"}, {"loan_account": "account_id"}, "inner", merge=True
+            ),
             DimJoin(
                 t["account_balances"],
                 {"loan_account": "accnt_id", "dt": "dt"},
                 how="inner",
                 where=known_balance,
+                merge=True,
             ),
         ],
     )
@@ -378,12 +422,16 @@ def early_repayment_events(
         events,
         [
             DimJoin(
-                loan_days, {"contract_id": "contract_id", "dt": "dt"}, {"loan_account": "loan_account"}
+                loan_days,
+                {"contract_id": "contract_id", "dt": "dt"},
+                {"loan_account": "loan_account"},
+                merge=True,
             ),
             DimJoin(
                 t["repayment_balances"],
                 {"repayment_account": "accnt_id", "dt": "dt"},
                 {"balance_account": "accnt_id", "balance": "acct_blnc_eod"},
+                merge=True,
             ),
         ],
     )
@@ -402,6 +450,26 @@ def early_repayment_events(
         ["startdate"],
         ["telephone"],
     )
+    events = valid_at_join(
+        events,
+        t["product_validity"].filter(F.col("contract_type") == ASSET),
+        {"contract_id": "contract_id", "loan_account": "account_id"},
+        "dt",
+        "date_from",
+        "date_to",
+        {"product_group_id": "product_group_id"},
+        bucket_days=bucket_days,
+        date_range=span,
+        merge=True,
+    )
+    client = _client_lookup(t, phone, {"hid_party": "hid_party"}, split_phone=True)
+    events = enrich(
+        events,
+        [
+            DimJoin(t["accounts"], {"db_accnt_id": "id"}, {"crnc": "crnc"}, merge=True),
+            DimJoin(client, {"db_cust_id": "cust_id"}, _same(client, "cust_id"), merge=True),
+        ],
+    )
     from_loans = F.col("source_id") == LOAN_SOURCE
     events = enrich(
         events,
@@ -423,37 +491,8 @@ def early_repayment_events(
                 {"employee_id": "id", "operator_name": "descr"},
                 where=from_loans,
             ),
-            DimJoin(
-                t["customers"],
-                {"db_cust_id": "id"},
-                {"hid_party": "hid_party"},
-                where=F.col("fl_del") == "0",
-            ),
-            DimJoin(
-                t["persons"],
-                {"hid_party": "hid_party"},
-                _person("person_"),
-                where=F.col("is_deleted") == 0,
-            ),
-            DimJoin(
-                phone,
-                {"hid_party": "hid_party"},
-                {"telephone": "telephone", "countrycode": "countrycode"},
-                split=True,
-            ),
         ],
     )
-    events = valid_at_join(
-        events,
-        t["product_validity"].filter(F.col("contract_type") == ASSET),
-        {"contract_id": "contract_id", "loan_account": "account_id"},
-        "dt",
-        "date_from",
-        "date_to",
-        {"product_group_id": "product_group_id"},
-        bucket_days=bucket_days,
-        date_range=span,
-    )
     product = {"product_name": "product_name", "group_name": "group_name"}
     on_group = {"product_group_id": "group3_id"}
     if product_bounded:
@@ -466,7 +505,6 @@ def early_repayment_events(
     events = enrich(
         events,
         [
-            DimJoin(t["accounts"], {"db_accnt_id": "id"}, {"crnc": "crnc"}),
             DimJoin(
                 t["currencies"],
                 {"crnc": "source_code", "source_id": "source_id"},
