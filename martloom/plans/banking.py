@@ -99,7 +99,7 @@ def account_open_events(
 
     With ``day`` only that day is read; without, the feed is rebuilt for all days. The joins
     that restrict the result come first and are inner joins, so the lookups after them meet
-    only the rows of the report.
+    only the rows of the report. Of those, the ones with rows per deal, contract or client are merged.
     """
     deals = t["deals"].filter(F.col("source_id").isin(*SOURCES))
     accounts = t["accounts"].filter(F.col("source_id").isin(*SOURCES))
@@ -162,25 +162,11 @@ def account_open_events(
             ),
             DimJoin(t["deal_types"], {"deal_type_id": "id"}),
             DimJoin(
-                t["customers"],
-                {"cust_id": "id"},
-                {"party_id": "id", "hid_party": "hid_party", "party_type": "party_type"},
-                where=F.col("fl_del") == "0",
-            ),
-            DimJoin(
-                t["persons"],
-                {"hid_party": "hid_party"},
-                _person("person_"),
-                where=F.col("is_deleted") == 0,
-            ),
-            DimJoin(
-                t["phones"],
-                {"hid_party": "hid_party"},
-                {"telephone": "telephone", "countrycode": "countrycode"},
-                where=(F.col("is_deleted") == 0) & (F.col("primary_flag") == 1),
+                t["deal_contracts"],
+                {"deal_id": "deal_id"},
+                {"passivedeal_id": "passivedeal_id"},
+                merge=True,
             ),
-            DimJoin(t["party_types"], {"party_type": "source_name"}, {"type_code": "type_code"}),
-            DimJoin(t["deal_contracts"], {"deal_id": "deal_id"}, {"passivedeal_id": "passivedeal_id"}),
         ],
     )
     placed = valid_at_join(
@@ -193,10 +179,32 @@ def account_open_events(
         {"ag_id": "ag_id"},
         bucket_days=BUCKET_DAYS,
         date_range=span,
+        merge=True,
     )
-    placed = enrich(
+    named = valid_at_join(
         placed,
+        t["product_validity"].filter(F.col("contract_type") == PASSIVE),
+        {"passivedeal_id": "contract_id", "account_id": "account_id"},
+        "deal_fd",
+        "date_from",
+        "date_to",
+        {"product_group_id": "product_group_id"},
+        bucket_days=BUCKET_DAYS,
+        date_range=span,
+        merge=True,
+    )
+    # the phones and the operators' channels may repeat events, so they come after all joins that sort the events
+    phone = t["phones"].filter((F.col("is_deleted") == 0) & (F.col("primary_flag") == 1))
+    client = _client_lookup(
+        t, phone, {"party_id": "id", "hid_party": "hid_party", "party_type": "party_type"}
+    )
+    named = enrich(
+        named, [DimJoin(client, {"cust_id": "cust_id"}, _same(client, "cust_id"), merge=True)]
+    )
+    named = enrich(
+        named,
         [
+            DimJoin(t["party_types"], {"party_type": "source_name"}, {"type_code": "type_code"}),
             DimJoin(
                 t["offices"],
                 {"ag_id": "id"},
@@ -223,17 +231,6 @@ def account_open_events(
             ),
         ],
     )
-    named = valid_at_join(
-        placed,
-        t["product_validity"].filter(F.col("contract_type") == PASSIVE),
-        {"passivedeal_id": "contract_id", "account_id": "account_id"},
-        "deal_fd",
-        "date_from",
-        "date_to",
-        {"product_group_id": "product_group_id"},
-        bucket_days=BUCKET_DAYS,
-        date_range=span,
-    )
     named = enrich(
         named,
         [

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from martloom.operators.intervals import valid_at_join
 from martloom.operators.joins import DimJoin, enrich
-from martloom.plans import early_repayment_events
-from martloom.queries.banking_reports import repayment_tables
+from martloom.plans import account_open_events, early_repayment_events
+from martloom.queries.banking_reports import GROUPS, account_tables, repayment_tables
 
 # first letters of the columns of customer and orders
 GROWING = {"c", "o"}
@@ -39,6 +39,14 @@ def bank_files(spark, tmp_path_factory):
         "nation": spark.range(25).select(
             k.cast("int").alias("n_nationkey"), F.concat(F.lit("N"), text).alias("n_name"), (k % 5).cast("int").alias("n_regionkey")
         ),
+        "part": n.select(
+            k.alias("p_partkey"), (k % 30 + 1).cast("int").alias("p_size"), F.lit("T").alias("p_type"), F.lit("B").alias("p_brand")
+        ),
+        "lineitem": spark.range(800).select(
+            (k / 2).cast("long").alias("l_orderkey"), k.alias("l_partkey"), (k % 60).alias("l_suppkey"), (k % 2).alias("l_linenumber"),
+            *[F.lit(1.0).alias(f"l_{c}") for c in ("quantity", "extendedprice", "discount", "tax")],
+            F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), day.alias("l_shipdate"),
+        ),
         "region": spark.range(5).select(k.cast("int").alias("r_regionkey"), F.concat(F.lit("R"), text).alias("r_name")),
     }
     for name, df in tables.items():
@@ -46,8 +54,8 @@ def bank_files(spark, tmp_path_factory):
     return str(base)
 
 
-def broadcast_tables(df):
-    """First letters of the columns read from files below the broadcasts of the plan, scalar subqueries apart."""
+def broadcast_columns(df):
+    """The columns read from files below the broadcasts of the plan, scalar subqueries apart."""
     plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
     found, broadcast, scalar = set(), None, None
     for line in plan:
@@ -59,10 +67,15 @@ def broadcast_tables(df):
         if re.search(r"[-+] Subquery ", line) and scalar is None:
             scalar = level
         if broadcast is not None and scalar is None:
-            found |= set(re.findall(r"FileScan parquet \[([a-z])_", line))
+            found |= {c for scan in re.findall(r"FileScan parquet \[(.*?)\]", line) for c in re.findall(r"(\w+)#", scan)}
     return found
 
 
+def broadcast_tables(df):
+    """First letters of those columns."""
+    return {c[0] for c in broadcast_columns(df)}
+
+
 def rows(df):
     return sorted(map(repr, df.collect()))
 
@@ -99,6 +112,13 @@ def test_repayments_broadcast_no_table_that_grows(spark, bank_files):
     assert named.count() > 0
 
 
+@pytest.mark.parametrize("day", [None, dt.date(1997, 8, 11)])
+def test_account_events_broadcast_no_clients(spark, bank_files, day):
+    report = account_open_events(account_tables(spark, bank_files), day, GROUPS, dt.date(1990, 1, 1))
+    assert "c_custkey" not in broadcast_columns(report)
+    assert report.filter("PARTY_ID IS NOT NULL").count() > 0
+
+
 def test_repeated_clients_repeat_their_events(spark, bank_files):
     """A client known twice, with two persons, and one without a party, as the joins one by one have it."""
     t = repayment_tables(spark, bank_files)
