@@ -2,6 +2,7 @@
 
 from .bucketed import bucket_together, buckets_for, write_bucketed
 from .publish import publish, published_parts, read_published, vacuum
+from .staged import CODEC, Steps, shuffles_released
 from .tables import (
     event_day,
     footer_max,
@@ -17,6 +18,8 @@ from .tables import (
 )
 
 __all__ = [
+    "CODEC",
+    "Steps",
     "bucket_together",
     "buckets_for",
     "event_day",
@@ -30,6 +33,7 @@ __all__ = [
     "read_newest",
     "read_published",
     "read_remote",
+    "shuffles_released",
     "trailing_days",
     "vacuum",
     "window_to_max",
