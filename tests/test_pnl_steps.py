@@ -41,7 +41,7 @@ def test_a_written_step_leaves_no_shuffle_files(spark, frame, tmp_path):
     assert not os.path.exists(steps.root.removeprefix("file:"))
 
 
-@pytest.mark.parametrize("name", ["monthly_pnl"])
+@pytest.mark.parametrize("name", ["monthly_pnl", "monthly_pnl_all_years"])
 def test_only_the_calendar_is_shuffled_at_the_end(no_broadcast, sf_dir, name):
     text = QUERIES[name](no_broadcast, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert text.count("SortMergeJoin") == 13
