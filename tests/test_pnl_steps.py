@@ -5,11 +5,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.plans import monthly_pnl
+from martloom.plans import monthly_pnl, pnl_store, read_pnl, refresh_pnl
 from martloom.plans.pnl import ORDER_FEES, PAYMENT_MEASURES, _fee_totals, _measured
 from martloom.queries import QUERIES
 from martloom.queries.commerce_reports import pnl_tables
-from martloom.sources import Steps
+from martloom.session import shared_folder
+from martloom.sources import Steps, publish, published_parts, read_published
 
 YEARS = range(1996, 1998)
 
@@ -71,3 +72,26 @@ def test_every_fee_goes_into_one_total(frame):
     assert sum(v for c, v in single.items() if c.startswith("__")) == 2 ** len(ORDER_FEES) - 1
     row = _measured(totals, parts).first().asDict()
     assert {m: row[m] for m in PAYMENT_MEASURES} == {m: sum(2 ** ORDER_FEES.index(k) for k in kinds) for m, kinds in PAYMENT_MEASURES.items()}
+
+
+def test_a_load_in_several_frames_is_one_load(spark, frame, tmp_path):
+    target, schema = str(tmp_path / "parts"), "p int, v long"
+    publish(frame(schema, (1, 1), (2, 2), (3, 3)), target, F.col("p"))
+    publish([frame(schema, (1, 10)), frame(schema), frame(schema, (2, 20), (1, 11))], target, F.col("p"), [1, 2, 3], "zstd")
+    assert rows(read_published(spark, target, frame(schema).schema)) == [(1, 10), (1, 11), (2, 20)]
+    assert len(os.listdir(f"{target}/_manifests")) - sum(n.endswith(".crc") for n in os.listdir(f"{target}/_manifests")) == 2
+    assert sorted(published_parts(spark, target)) == ["part=1", "part=2"]
+
+
+def test_a_refresh_in_several_loads_leaves_the_report_alone(spark, sf_dir, tmp_path, monkeypatch):
+    t, months = pnl_tables(spark, sf_dir), [(1996, 11), (1996, 12), (1997, 1)]
+    monkeypatch.setattr(pnl_store, "LOAD_CELLS", 1)
+    assert pnl_store._loads(months, 100) == [[m] for m in months]
+    assert pnl_store._loads(months, 0) == [[(1996, 11)], [(1996, 12)], [(1997, 1)]]
+    refresh_pnl(t, str(tmp_path / "pnl"), months)
+    report = monthly_pnl(**t, years=YEARS)
+    number = F.col("year_") * 100 + F.col("month_")
+    want = report.filter(number.isin(*[y * 100 + m for y, m in months]))
+    assert rows(read_pnl(spark, str(tmp_path / "pnl"), report.schema)) == rows(want)
+    folder = shared_folder(spark).removeprefix("file:")
+    assert not [n for n in os.listdir(folder) if n.startswith("pnl_refresh")]
